@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisift.llm import term_frequency
+from lumisift.llm import repetition, term_frequency
 from lumisift.runtime import table
 
 
@@ -23,7 +23,20 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _closed_terms(spark, sf_dir).where("band is not null").select("field", "term", "band")
 
 
-QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found}
+COT_FIELDS = ["cot_reasoning.reasoning_paragraph", "cot_reasoning.raw_reasoning"]
+
+
+def p7_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repetition.banded(repetition.measures(table(spark, sf_dir, "training_records"), "record_id", COT_FIELDS))
+    return rows.withColumnRenamed("id", "record_id").distinct()
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repetition.measures(table(spark, sf_dir, "training_records"), "record_id", COT_FIELDS, cases_only=True)
+    return rows.select(F.col("id").alias("record_id"), "field").distinct()
+
+
+QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p7_measures": p7_measures, "p7_found": p7_found}
 
 _P1 = r"""
 with records as (
