@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisift.llm import repetition, term_frequency
+from lumisift.llm import cross_split, repetition, term_frequency
 from lumisift.runtime import table
 
 
@@ -23,6 +23,16 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _closed_terms(spark, sf_dir).where("band is not null").select("field", "term", "band")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = cross_split.overlaps(table(spark, sf_dir, "training_records"))
+    return pairs.select(F.least("train_id", "eval_id").alias("record_id_a"), F.greatest("train_id", "eval_id").alias("record_id_b"))
+
+
+def p4_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = table(spark, sf_dir, "training_records")
+    return cross_split.totals(records, cross_split.overlaps(records))
+
+
 COT_FIELDS = ["cot_reasoning.reasoning_paragraph", "cot_reasoning.raw_reasoning"]
 
 
@@ -36,7 +46,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("record_id"), "field").distinct()
 
 
-QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p7_measures": p7_measures, "p7_found": p7_found}
+QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p4_found": p4_found, "p4_totals": p4_totals, "p7_measures": p7_measures, "p7_found": p7_found}
 
 _P1 = r"""
 with records as (
