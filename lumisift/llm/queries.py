@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisift.llm import cross_split, repetition, term_frequency
+from lumisift.llm import canonical_map, cross_split, repetition, term_frequency
 from lumisift.runtime import table
 
 
@@ -33,6 +33,21 @@ def p4_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_split.totals(records, cross_split.overlaps(records))
 
 
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    closed = table(spark, sf_dir, "training_records").where("question_category = 'closed'")
+    fields = {"hard_label.answer": F.array("hard_label.answer"), "soft_label.answer_distribution": F.map_keys("soft_label.answer_distribution")}
+    return canonical_map.map_typed(closed, "record_id", fields, table(spark, sf_dir, "answer_vocab"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _typed(spark, sf_dir).withColumnRenamed("id", "record_id")
+
+
+def p6_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _typed(spark, sf_dir).where(F.col("answer_id") == canonical_map.UNMATCHED)
+    return rows.groupBy("field", "typed").agg(F.count("*").alias("records"))
+
+
 COT_FIELDS = ["cot_reasoning.reasoning_paragraph", "cot_reasoning.raw_reasoning"]
 
 
@@ -46,7 +61,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("record_id"), "field").distinct()
 
 
-QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p4_found": p4_found, "p4_totals": p4_totals, "p7_measures": p7_measures, "p7_found": p7_found}
+QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p4_found": p4_found, "p4_totals": p4_totals, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_measures": p7_measures, "p7_found": p7_found}
 
 _P1 = r"""
 with records as (
