@@ -45,7 +45,8 @@ def plain_forms(value: str) -> list[list[str]]:
     text = re.sub(r"(?<=\d)[.,]0+\b", "", text)
     words = re.sub(r"[\W_]+", " ", text).strip()
     kept = [w for w in _HEDGES.sub(" ", words).split() if w not in HEDGE_WORDS]
-    return [f for i, f in enumerate(forms := [kept, words.split()]) if f and f not in forms[:i]]
+    forms = [kept, words.split()]
+    return [f for i, f in enumerate(forms) if f and f not in forms[:i]]
 
 
 def _singulars(word: str) -> Iterator[str]:
