@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisift.llm import canonical_map, cross_split, repetition, term_frequency
+from lumisift.llm import broken_pairs, canonical_map, cross_split, repetition, term_frequency, truncation
 from lumisift.runtime import table
 
 
@@ -23,6 +23,28 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _closed_terms(spark, sf_dir).where("band is not null").select("field", "term", "band")
 
 
+COT_FIELDS = ["cot_reasoning.reasoning_paragraph", "cot_reasoning.raw_reasoning"]
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = broken_pairs.defects(
+        table(spark, sf_dir, "training_records"), "record_id", "question", "hard_label.answer", COT_FIELDS[1], COT_FIELDS[0], "cot_reasoning.answer", "question_category = 'closed'"
+    )
+    return rows.withColumnRenamed("id", "record_id")
+
+
+def _truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.truncated(table(spark, sf_dir, "training_records"), "record_id", *COT_FIELDS, "cot_reasoning.answer", "question")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _truncated(spark, sf_dir).withColumnRenamed("id", "record_id")
+
+
+def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.rates(table(spark, sf_dir, "training_records"), _truncated(spark, sf_dir), "record_id", "source", COT_FIELDS)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = cross_split.overlaps(table(spark, sf_dir, "training_records"))
     return pairs.select(F.least("train_id", "eval_id").alias("record_id_a"), F.greatest("train_id", "eval_id").alias("record_id_b"))
@@ -48,9 +70,6 @@ def p6_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("field", "typed").agg(F.count("*").alias("records"))
 
 
-COT_FIELDS = ["cot_reasoning.reasoning_paragraph", "cot_reasoning.raw_reasoning"]
-
-
 def p7_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repetition.banded(repetition.measures(table(spark, sf_dir, "training_records"), "record_id", COT_FIELDS))
     return rows.withColumnRenamed("id", "record_id").distinct()
@@ -61,7 +80,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("record_id"), "field").distinct()
 
 
-QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p4_found": p4_found, "p4_totals": p4_totals, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_measures": p7_measures, "p7_found": p7_found}
+QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p5_rates": p5_rates, "p4_found": p4_found, "p4_totals": p4_totals, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_measures": p7_measures, "p7_found": p7_found}
 
 _P1 = r"""
 with records as (
