@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisift.llm import broken_pairs, canonical_map, cross_split, repetition, term_frequency, truncation
+from lumisift.llm import broken_pairs, canonical_map, cross_split, leakage, lookalikes, repetition, term_frequency, truncation
 from lumisift.runtime import table
 
 
@@ -80,7 +80,30 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("record_id"), "field").distinct()
 
 
-QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p5_rates": p5_rates, "p4_found": p4_found, "p4_totals": p4_totals, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_measures": p7_measures, "p7_found": p7_found}
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scores = lookalikes.fitted(documents, "doc_id", "text")
+    return leakage.leaks(leakage.index(documents, scores=scores), table(spark, sf_dir, "heldout_items"), scores)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir)
+
+
+def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, sf_dir, "heldout_items"), _leaks(spark, sf_dir))
+
+
+def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes.consistent_texts(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "text")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lookalikes.consistent_texts(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), F.explode("kinds").alias("kind")).distinct()
+
+
+QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p5_rates": p5_rates, "p4_found": p4_found, "p4_totals": p4_totals, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_measures": p7_measures, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_texts": p10_texts, "p10_found": p10_found}
 
 _P1 = r"""
 with records as (
