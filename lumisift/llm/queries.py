@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumisift.llm import broken_pairs, canonical_map, cross_split, leakage, lookalikes, repetition, term_frequency, truncation
+from lumisift.llm import broken_pairs, canonical_map, cross_split, leakage, lookalikes, mixture, repetition, term_frequency, truncation
 from lumisift.runtime import table
 
 
@@ -94,6 +94,14 @@ def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(table(spark, sf_dir, "heldout_items"), _leaks(spark, sf_dir))
 
 
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mixture_targets"))[0]
+
+
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mixture_targets"))[1]
+
+
 def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.consistent_texts(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "text")
 
@@ -103,7 +111,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.explode("kinds").alias("kind")).distinct()
 
 
-QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p5_rates": p5_rates, "p4_found": p4_found, "p4_totals": p4_totals, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_measures": p7_measures, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_texts": p10_texts, "p10_found": p10_found}
+QUERIES = {"p1_terms": p1_terms, "p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p5_rates": p5_rates, "p4_found": p4_found, "p4_totals": p4_totals, "p6_found": p6_found, "p6_unmatched": p6_unmatched, "p7_measures": p7_measures, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p9_mixture": p9_mixture, "p9_report": p9_report, "p10_texts": p10_texts, "p10_found": p10_found}
 
 _P1 = r"""
 with records as (
