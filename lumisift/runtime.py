@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,3 +45,15 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+
+
+def bounded_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
+    """At most ``size`` rows, those whose keys hash lowest; the same rows in every run.
+
+    Rows are first thinned by the hash to about one and a half times ``size``, so that
+    tasks don't each send ``size`` rows, however many tasks there are.
+    """
+    fine = 1 << 40
+    share = min(1.0, 1.5 * size / max(1, df.count()))
+    h = F.xxhash64(key, F.lit(seed))
+    return df.where(F.pmod(h, F.lit(fine)) <= int(share * fine)).orderBy(h, key).limit(size)
