@@ -34,7 +34,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.truncated(table(spark, sf_dir, "training_records"), "record_id", *COT_FIELDS, "cot_reasoning.answer", "question")
+    return truncation.truncated(table(spark, sf_dir, "training_records"), "record_id", *COT_FIELDS, "cot_reasoning.answer", "question", "hard_label.answer")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
