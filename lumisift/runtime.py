@@ -57,3 +57,10 @@ def bounded_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
     share = min(1.0, 1.5 * size / max(1, df.count()))
     h = F.xxhash64(key, F.lit(seed))
     return df.where(F.pmod(h, F.lit(fine)) <= int(share * fine)).orderBy(h, key).limit(size)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistributes a table that is read in fewer than half as many tasks as there are cores; a larger one stays as its files give it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if 2 * parts > cores else df.repartition(cores)
