@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lumisift.runtime import cut_lineage
+from lumisift.runtime import cut_lineage, spread
 
 TOKENIZER_DIR = "/opt/tokenizers"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -60,7 +60,7 @@ def _tokens(path: str):
 def token_lengths(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
     """(doc_id, source, n_tokens) of every document, counted over its whole text."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_tokens(os.path.join(tokenizer_dir, RANKS)), _COUNTED)
+    return spread(rows).mapInArrow(_tokens(os.path.join(tokenizer_dir, RANKS)), _COUNTED)
 
 
 @dataclass
