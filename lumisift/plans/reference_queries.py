@@ -41,8 +41,9 @@ def _dists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.size("d") > 0)
 
 
-def _long(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.select(*keys, F.posexplode("d")).select(*keys, "pos", F.col("col.key").alias("token"), _r("col.value", "p"))
+def _long(rows: DataFrame, *keys: str, digits: int | None = 6) -> DataFrame:
+    p = F.col("col.value").alias("p") if digits is None else _r("col.value", "p", digits)
+    return rows.select(*keys, F.posexplode("d")).select(*keys, "pos", F.col("col.key").alias("token"), p)
 
 
 def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,16 +167,16 @@ def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def merge_equal_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _long(_dists(spark, sf_dir).withColumn("d", D.renormalised(F.col("d"))), "record_id")
-    return rows.groupBy("record_id", X.match_form(F.col("token")).alias("token")).agg(_r(F.sum("p"), "p", 4))
+    rows = _long(_dists(spark, sf_dir).withColumn("d", D.renormalised(F.col("d"))), "record_id", digits=None)
+    return rows.groupBy("record_id", X.match_form(F.col("token")).alias("token")).agg(_r(F.sum("p"), "p"))
 
 
 @_query
 def merge_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _long(_dists(spark, sf_dir), "record_id").withColumn("x", F.ln("p") / 3)
+    rows = _long(_dists(spark, sf_dir), "record_id", digits=None).withColumn("x", F.ln("p") / 3)
     top = F.max("x").over(Window.partitionBy("record_id"))
     merged = rows.withColumn("e", F.exp(F.col("x") - top)).groupBy("record_id", X.match_form(F.col("token")).alias("token")).agg(F.sum("e").alias("e"))
-    return merged.select("record_id", "token", _r(F.col("e") / F.sum("e").over(Window.partitionBy("record_id")), "p", 4))
+    return merged.select("record_id", "token", _r(F.col("e") / F.sum("e").over(Window.partitionBy("record_id")), "p"))
 
 
 @_query

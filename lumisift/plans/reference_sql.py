@@ -12,6 +12,10 @@ def _set(words) -> str:
     return "(" + ", ".join(f"'{w}'" if isinstance(w, str) else str(w) for w in words) + ")"
 
 
+def _strip(c: str) -> str:
+    return rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
+
+
 _NUMBERS = "case {} " + " ".join(f"when '{w}' then '{i}'" for i, w in enumerate(X.NUMBER_WORDS)) + " end"
 
 
@@ -65,6 +69,8 @@ def _type(question: str) -> str:
       when {has(X.COUNT_WORDS)} then 'counting' when {has(X.PLACE_WORDS)} then 'location' when {has(X.OPEN_WORDS)} then 'open' end"""
 
 
+_REASONING = _strip(r"regexp_extract(raw, '(?s)\[Reasoning\](.*?)\[Answer\]', 1)")
+_ANSWER = _strip("string_split(" + _strip("string_split(raw, '[Answer]')[-1]") + ", chr(10))[1]")
 _TIER = "case when hard_label.confidence < 0.4 then 'low' when hard_label.confidence <= 0.95 then 'middle' when hard_label.confidence <= 0.98 then 'high' when hard_label.confidence is not null then 'ultra' else 'none' end"
 _PLAIN = "cot_reasoning.raw_reasoning"
 for _pattern, _to in ((r"(?m)^#{1,6}\s*", ""), (r"\*\*([^*]+)\*\*", r"\1"), (r"\*([^*]+)\*", r"\1"), (r"(?m)^\s*[-0-9]+\.\s*", ""), (r"\s+", " ")):
@@ -104,7 +110,7 @@ select answer, case when regexp_matches(a, '^[0-9]+$') then a else {_NUMBERS.for
 select answer, case when len(words) = 1 then words[1] else coalesce(list_filter(words, lambda w: w in {_set(X.COLORS)})[1], words[1]) end as color,
   case when c in {_set(X.PLACES)} then c else list_filter({_list(X.PLACES)}, lambda p: contains(c, p))[1] end as place from t""",
     "reply_parts": rf"""with {_RECORDS}, t as (select record_id, cot_reasoning.raw_reasoning as raw from records)
-select record_id, case when contains(raw, '[Reasoning]') then trim(regexp_extract(raw, '(?s)\[Reasoning\](.*?)\[Answer\]', 1)) end as reasoning, trim(string_split(trim(string_split(raw, '[Answer]')[-1]), chr(10))[1]) as answer
+select record_id, case when contains(raw, '[Reasoning]') then {_REASONING} end as reasoning, {_ANSWER} as answer
 from t where contains(raw, '[Answer]')""",
     "plain_replies": f"with {_RECORDS} select record_id, trim({_PLAIN}) as plain, {_UNQUOTED} as unquoted from records where cot_reasoning.raw_reasoning is not null",
     "reply_signals": rf"""with {_RECORDS}, t as (select *, cot_reasoning.reasoning_paragraph as text, {_words("question")} as q, {_words("cot_reasoning.reasoning_paragraph")} as w, {_match("hard_label.answer")} as h, {_match("cot_reasoning.answer")} as c from records)
@@ -126,9 +132,9 @@ r as (select *, row_number() over w as k, sum(p) over (w rows unbounded precedin
 kept as (select * from r qualify k <= least(count(*) filter (where upto <= 0.9) over (partition by record_id) + 1, 20))
 select record_id, k - 1 as pos, token, round(p / sum(p) over (partition by record_id), 6) as p from kept""",
     "top_tokens": f"with {_DISTS}, r as (select *, row_number() over (partition by record_id order by v desc, pos) as k from cells) select record_id, k - 1 as pos, token, round(v, 6) as p from r where k <= 2",
-    "merge_equal_tokens": f"with {_DISTS}, n as (select record_id, {_match('token')} as token, round(v / sum(v) over (partition by record_id), 6) as p from cells) select record_id, token, round(sum(p), 4) as p from n group by all",
-    "merge_logits": f"""with {_DISTS}, e as (select record_id, {_match("token")} as token, exp(ln(round(v, 6)) / 3 - max(ln(round(v, 6)) / 3) over (partition by record_id)) as e from cells),
-m as (select record_id, token, sum(e) as e from e group by all) select record_id, token, round(e / sum(e) over (partition by record_id), 4) as p from m""",
+    "merge_equal_tokens": f"with {_DISTS}, n as (select record_id, {_match('token')} as token, v / sum(v) over (partition by record_id) as p from cells) select record_id, token, round(sum(p), 6) as p from n group by all",
+    "merge_logits": f"""with {_DISTS}, e as (select record_id, {_match("token")} as token, exp(ln(v) / 3 - max(ln(v) / 3) over (partition by record_id)) as e from cells),
+m as (select record_id, token, sum(e) as e from e group by all) select record_id, token, round(e / sum(e) over (partition by record_id), 6) as p from m""",
     "distribution_metrics": f"""with {_DISTS}, n as (select *, v / sum(v) over (partition by record_id) as p, row_number() over (partition by record_id order by v desc, pos) as k from cells)
 select record_id, round(sum(v), 6) as raw_sum, count(*) as tokens, max(token) filter (where k = 1) as primary, round(-sum(p * log2(p)), 6) as entropy,
   round(max(p) filter (where k = 1) - coalesce(max(p) filter (where k = 2), 0.0), 6) as gap,
