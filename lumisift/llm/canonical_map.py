@@ -131,11 +131,12 @@ def _sharded(typed: DataFrame, listed: DataFrame, shards: int) -> DataFrame:
     """The same over a list too long to send out: values meet each shard's tree in salted groups, then the nearest winner stays."""
     salts = max(1, int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
     values = typed.select("typed").distinct()
-    left = values.withColumns({"shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))), "salt": F.pmod(F.xxhash64("typed"), F.lit(salts))})
-    right = listed.withColumns({"shard": F.pmod(F.xxhash64("entry_id"), F.lit(shards)).cast("int"), "salt": F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")})
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    left = values.withColumn("shard", upto(shards)).withColumn("salt", F.pmod(F.xxhash64("typed"), F.lit(salts)))
+    right = listed.withColumn("shard", F.pmod(F.xxhash64("entry_id"), F.lit(shards))).withColumn("salt", upto(salts))
 
     def winners(v: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        entries = Entries(list(e[["entry_id", "answer", "aliases"]].itertuples(index=False, name=None)))
+        entries = Entries([(i, a, None if b is None else list(b)) for i, a, b in zip(e["entry_id"], e["answer"], e["aliases"])])
         found = [entries.match(x) for x in v["typed"]]
         return pd.DataFrame({"typed": v["typed"], "d": [float(f[0]) for f in found], "answer_id": [f[1] for f in found]})
 
