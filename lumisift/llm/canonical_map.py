@@ -150,13 +150,13 @@ def _held(name: str, values: Column) -> Column:
 
 
 def typed_values(df: DataFrame, id_col: str, fields: dict[str, Column], known: list[str] | None = None) -> DataFrame:
-    """(id, field, typed) of every non-blank value once; ``fields`` maps names to array<string> columns. Values in the list ``known`` are left out before they are spread."""
+    """(id, field, typed) of every non-blank value; ``fields`` maps names to array<string> columns. Values in the list ``known`` are left out before they are spread."""
     held = [_held(name, values) for name, values in fields.items()]
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.explode(F.concat(*held)).alias("x")).select("id", "x.field", "x.typed")
     rows = rows.where(F.col("typed").rlike(r"(?U)\S"))
     if known:
         rows = rows.where(~F.col("typed").isin(known))
-    return rows.distinct()
+    return rows
 
 
 def map_typed(df: DataFrame, id_col: str, fields: dict[str, Column], reference: DataFrame, inexact_only: bool = True, broadcast_max: int = BROADCAST_MAX) -> DataFrame:
@@ -166,8 +166,8 @@ def map_typed(df: DataFrame, id_col: str, fields: dict[str, Column], reference:
     if size <= broadcast_max:
         rows = [tuple(r) for r in listed.collect()]
         typed = typed_values(df, id_col, fields, [r[1] for r in rows if r[1] is not None] if inexact_only else None)
-        return typed.mapInArrow(_mapper(rows), _MAPPED)
-    typed = typed_values(df, id_col, fields)
+        return typed.mapInArrow(_mapper(rows), _MAPPED).distinct()
+    typed = typed_values(df, id_col, fields).distinct()
     if inexact_only:
         typed = typed.join(listed.select(F.col("answer").alias("typed")), "typed", "left_anti").select("id", "field", "typed")
     return _sharded(typed, listed, -(-size // broadcast_max))

@@ -4,14 +4,28 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A word is a maximal run of Unicode letters and digits.
 WORD = re.compile(r"[^\W_]+")
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def pieces(batch: pa.RecordBatch, texts: list[int], rows: int = 2_500, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``rows`` rows and about ``size`` bytes in its text columns; a longer text is a slice of its own."""
+    lengths = sum(pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for i in texts)
+    upto, at = np.cumsum(lengths), 0
+    while at < len(batch):
+        before = upto[at - 1] if at else 0
+        end = max(at + 1, min(at + rows, int(np.searchsorted(upto, before + size, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: nearby integers become unrelated ones."""
     x = x.astype(np.uint64)
