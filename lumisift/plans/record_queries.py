@@ -153,16 +153,16 @@ def resized_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     """with one as (select distinct image_id, id, category_id, bbox from instances)
-select c.name as name, count(*) as boxes, count(*) filter (where bbox is null) as missing, count(*) filter (where bbox[3] <= 0 or bbox[4] <= 0) as degenerate, round(avg(case when bbox[3] > 0 and bbox[4] > 0 then bbox[3] * bbox[4] end), 3) as mean_area
+select c.name as name, count(*) as boxes, count(*) filter (where bbox is null) as missing, count(*) filter (where bbox[3] <= 0 or bbox[4] <= 0) as degenerate, round(coalesce(sum(case when bbox[3] > 0 and bbox[4] > 0 then bbox[3] * bbox[4] end), 0.0), 4) as total_area
 from one left join categories c on one.category_id = c.id group by c.name"""
 )
 def box_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per category its boxes: how many, missing, without area, and the mean area of the rest."""
+    """Per category its boxes: how many, missing, without area, and the area of the rest."""
     one = table(spark, sf_dir, "instances").select("image_id", "id", "category_id", "bbox").distinct()
     width, height = F.get("bbox", F.lit(2)), F.get("bbox", F.lit(3))
     named = one.join(table(spark, sf_dir, "categories").select(F.col("id").alias("category_id"), "name"), "category_id", "left")
     area = F.when((width > 0) & (height > 0), width * height)
-    return named.groupBy("name").agg(F.count("*").alias("boxes"), F.count_if(F.col("bbox").isNull()).alias("missing"), F.count_if((width <= 0) | (height <= 0)).alias("degenerate"), _r(F.avg(area), "mean_area", 3))
+    return named.groupBy("name").agg(F.count("*").alias("boxes"), F.count_if(F.col("bbox").isNull()).alias("missing"), F.count_if((width <= 0) | (height <= 0)).alias("degenerate"), _r(F.coalesce(F.sum(area), F.lit(0.0)), "total_area", 4))
 
 
 @_query(
