@@ -60,7 +60,9 @@ def bounded_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Redistributes a table that is read in fewer than half as many tasks as there are cores; a larger one stays as its files give it."""
+    """Redistributes a table that is read in fewer than half as many tasks as there are cores; a larger one, and one that is shuffled anyway, stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df if 2 * parts > cores else df.repartition(cores)
+    execution = df._jdf.queryExecution()
+    if execution.executedPlan().nodeName() == "AdaptiveSparkPlan":  # its partitions are known only once it ran
+        return df
+    return df if 2 * execution.toRdd().getNumPartitions() > cores else df.repartition(cores)
