@@ -96,11 +96,11 @@ def candidate_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each pool its size, distinct size, whether it holds the answer, and how many tokens lie outside and inside."""
     none = F.array().cast("array<string>")
     pool, keys = F.coalesce(F.array_compact("soft_label.candidate_pool"), none), F.coalesce(F.map_keys("soft_label.answer_distribution"), none)
-    rows = table(spark, sf_dir, "training_records").dropDuplicates(["record_id"]).where("soft_label is not null")
+    rows = table(spark, sf_dir, "training_records").where("soft_label is not null")
     return rows.select(
         "record_id", F.size(pool).alias("listed"), F.size(F.array_distinct(pool)).alias("different"), F.array_contains(pool, F.col("hard_label.answer")).alias("holds_answer"),
         F.size(F.array_except(keys, pool)).alias("outside"), F.size(F.array_intersect(keys, pool)).alias("inside"),
-    )
+    ).dropDuplicates(["record_id"])
 
 
 _TYPES = "types as (select answer as token, category from answer_vocab union select unnest(aliases), category from answer_vocab)"

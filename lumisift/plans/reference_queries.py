@@ -28,8 +28,8 @@ def _r(c: Column | str, name: str, digits: int = 6) -> Column:
 
 
 def _records(spark: SparkSession, sf_dir: str, *columns: Column | str) -> DataFrame:
-    """Training records, each once."""
-    return table(spark, sf_dir, "training_records").dropDuplicates(["record_id"]).select("record_id", *columns)
+    """Columns of the training records, each record once; only what they need is read and shuffled."""
+    return table(spark, sf_dir, "training_records").select("record_id", *columns).dropDuplicates(["record_id"])
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
