@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from lumisift.functions import distributions as D
 from lumisift.functions import records as C
 from lumisift.functions import text as X
+from lumisift.functions.json_text import repair
 from lumisift.plans.reference_queries import _dists, _long, _r, _records, _tasks
 from lumisift.plans.reference_sql import _DISTS, _RECORDS, _SAMPLES, _clean, _match
 from lumisift.runtime import table
@@ -189,3 +190,36 @@ def number_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The numbers that a counted answer may be confused with."""
     rows = _records(spark, sf_dir, F.col("hard_label.answer").alias("a"), "question_type").where("question_type = 'counting'").where(F.col("a").rlike("^[0-9]{1,6}$"))
     return rows.select(F.col("a").cast("long").alias("number")).distinct().select("number", F.array_join(C.neighbours(F.col("number")), ",").alias("candidates"))
+
+
+@_query(
+    rf"""with asked as (select distinct question, hard_label.answer as label from training_records where question is not null)
+select question, label, case when regexp_matches(lower(question), '{"|".join(X.COUNTING)}') then 'counting' when regexp_matches(lower(question), '{"|".join(X.READING)}') then 'reading'
+  when try_cast(trim(label) as int) between 0 and 20 then 'counting' when try_cast(trim(label) as int) is not null then 'reading' end as task from asked where label is null or regexp_matches(label, '^[A-Za-z0-9 ]*\z')"""
+)
+def number_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a question counts, or reads a number off, for plain labels."""
+    asked = table(spark, sf_dir, "training_records").where("question is not null").select("question", F.col("hard_label.answer").alias("label")).distinct()
+    return asked.where(F.col("label").isNull() | F.col("label").rlike(r"^[A-Za-z0-9 ]*\z")).select("question", "label", X.number_task(F.col("question"), F.col("label"))["task"].alias("task"))
+
+
+_MERGED = "answer"
+for _spoken in sorted(X.ENTITIES, key=lambda e: (-len(e), e)):
+    _MERGED = f"regexp_replace({_MERGED}, '{_spoken}', '{X.ENTITIES[_spoken]}', 'gi')"
+
+
+@_query(f"select answer, {_MERGED} as merged from (select distinct hard_label.answer as answer from training_records where question_category = 'closed') where answer is not null and {_MERGED} <> answer")
+def merged_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    answers = table(spark, sf_dir, "training_records").where("question_category = 'closed'").select(F.col("hard_label.answer").alias("answer")).distinct()
+    return answers.select("answer", X.merged_entities(F.col("answer")).alias("merged")).where("merged <> answer")
+
+
+def repaired_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per producer, how many payloads are objects as they are and how many after repair."""
+    one = table(spark, sf_dir, "raw_samples").select("sample_id", "producer", "payload").dropDuplicates(["sample_id"])
+    whole = F.try_parse_json("payload").isNotNull() & (F.substring(F.ltrim(F.col("payload")), 1, 1) == "{")
+    rows = one.select("producer", F.coalesce(whole, F.lit(False)).alias("whole"), repair("payload").isNotNull().alias("usable"))
+    return rows.groupBy("producer").agg(F.count("*").alias("samples"), F.count_if("whole").alias("whole"), F.count_if(F.col("usable")).alias("usable"))
+
+
+QUERIES["repaired_payloads"] = repaired_payloads

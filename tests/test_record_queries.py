@@ -2,8 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumisift.functions import records as C
+from lumisift.functions import text as X
+from lumisift.functions.json_text import repaired
 from lumisift.plans import record_queries
-from tests.oracle import compare, needs_data
+from tests.oracle import DATA, compare, needs_data
 
 
 @needs_data
@@ -35,3 +37,25 @@ def test_reasoning_and_targets(spark):
     reasoning = C.reasoning_text(F.col("cot"))
     assert [r[0] for r in df.select(reasoning).collect()] == ["p", "o\nc", None, None]
     assert [r[0] for r in df.select(C.target_text(reasoning, F.col("a"))).collect()] == ["[Reasoning] p\n[Answer] x", None, "[Answer] y", "[Answer] z"]
+
+
+def test_json_repair():
+    assert repaired('text {"a": 1} more') == '{"a": 1}'
+    assert repaired('{"a": [1, 2,], "b": "x}",}') == '{"a": [1, 2], "b": "x}"}'
+    assert repaired("{a: 1, 'b\": 2}") == '{"a": 1, "b": 2}'
+    assert repaired('{"a": 1, "b": {"c": "cut of') == '{"a": 1, "b": {"c": "cut of"}}'
+    assert repaired('{"a": 1, "b": tr') == '{"a": 1}'
+    assert [repaired(t) for t in (None, "", "none", "[1]", "{")] == [None, None, None, None, "{}"]
+
+
+@needs_data
+def test_payloads_are_repaired(spark):
+    for r in record_queries.repaired_payloads(spark, str(DATA)).collect():
+        assert r["whole"] <= r["usable"] <= r["samples"]
+
+
+def test_number_tasks_and_entities(spark):
+    df = spark.createDataFrame([("How many cars?", "3"), ("What year is it?", "1999"), ("Is it so?", "12"), ("Is it so?", "300"), ("Is it so?", "yes"), (None, None)], "q string, a string")
+    found = df.select(X.number_task(F.col("q"), F.col("a"))["task"]).collect()
+    assert [r[0] for r in found] == ["counting", "reading", "counting", "reading", None, None]
+    assert values(spark, "string", ["Fire Trucks and a traffic light", None], X.merged_entities) == ["firetrucks and a trafficlight", None]
