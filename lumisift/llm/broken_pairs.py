@@ -5,8 +5,9 @@ The text apart from tags, headings and roles is its core. In this order a field
 * ``empty_answer``: null (answers only), blank, or nothing but placeholders and tags;
 * ``refusal``: every sentence of the core refuses or is polite filler (refusal patterns
   of five languages);
-* ``copies_question``: the core compresses to almost nothing when the question is the
-  zstandard dictionary, and its words are the question's;
+* ``copies_question``: reasoning and answer each are empty or compress to almost nothing
+  when the question is the zstandard dictionary, and their words are the question's,
+  given once or more often;
 * ``truncated_answer``: the text was cut (:mod:`lumisift.llm.truncation`);
 * ``other_language``: at least half of the core's sentences are in another language than
   the question (a word-frequency model of five languages), short final answers aside.
@@ -65,7 +66,10 @@ POLITE = (r"^hmm\b", r"^please ask\b", r"^unfortunately\W*$", r"^sorry\W*$")
 _TRIGGERS = ("can't", "cannot", "can not", "could not", "couldn't", "won't", "will not", "unable", "not able", "declin", "refus", "not to answer", "rather not", "access", "have to pass", "not allowed", "not permitted", "as an ai", "no answer", "no reply", "guidelines", "rules", "policy", "policies", "not possible", "apologies", "keine", "nicht", "ablehnen", "leid", "désolé", "regrette", "peux pas", "puis pas", "veux pas", "souhaite pas", "lo siento", "rechazar", "no puedo", "抱歉", "对不起", "无法", "不能", "拒绝")
 _REFUSES = re.compile("|".join(f"(?:{p})" for p in REFUSALS), re.I)
 _POLITE = re.compile("|".join(f"(?:{p})" for p in POLITE), re.I)
-_QUESTION_LABEL = re.compile(r"^\W*(?:question|q|frage|pregunta)\s*[:：]", re.I)
+_QUESTION_LABEL = re.compile(r"\b(?:question|q|frage|pregunta)\s*[:：]", re.I)
+#: So many characters of a text tell most texts from a question without reading on.
+_HEAD = 120
+_LABEL_WORDS = frozenset(("question", "q", "frage", "pregunta"))
 _WORDS = re.compile(r"[^\W_]+")
 _FOUND = "id long, field string, defect string"
 
@@ -108,6 +112,7 @@ class Copies:
         self.zstd = zstandard
         params = zstandard.ZstdCompressionParameters.from_level(3, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.params = params
+        self.memo: dict[str, tuple[list[str], frozenset[str]]] = {}
         self.frame = len(zstandard.ZstdCompressor(compression_params=params).compress(b""))
 
     def cost(self, text: str, question: str) -> float:
@@ -116,16 +121,50 @@ class Copies:
         data = text.encode("utf-8", "replace")
         return (len(self.zstd.ZstdCompressor(compression_params=self.params, dict_data=held).compress(data)) - self.frame) / max(1, len(data))
 
-    def __call__(self, core: str, question: str) -> bool:
-        a, b = (" ".join(_WORDS.findall(_QUESTION_LABEL.sub("", x).lower())) for x in (core, question))
-        if not a or not b or not 0.7 <= len(a) / len(b) <= 1.4:
+    def asked(self, question: str) -> tuple[list[str], frozenset[str]]:
+        """The words of a question, and they and the labels' as a set."""
+        if question not in self.memo:
+            if len(self.memo) > 100_000:
+                self.memo.clear()
+            words = _question_words(question)
+            self.memo[question] = words, _LABEL_WORDS.union(words)
+        return self.memo[question]
+
+    def foreign(self, text: str, question: str) -> bool:
+        """Whether the beginning of a text alone has too many words that aren't the question's.
+
+        0.8 of all words in common leaves at most a quarter of the question's for others, in any stretch of a copy.
+        """
+        b, known = self.asked(question)
+        return 4 * sum(not w.isdigit() for w in set(_WORDS.findall(text[:_HEAD].lower())[:-1]) - known) > len(set(b))
+
+    def __call__(self, text: str, question: str) -> bool:
+        """Whether a text is the question, given once or more often."""
+        b, _ = self.asked(question)
+        if not b or self.foreign(text, question):
             return False
-        if a == b and len(a) < 24:
-            return True  # too short for a compressor to tell
-        if self.cost(a, b) > COPY_COST:
+        a = _question_words(BULLET.sub("", text))
+        if a and a == b * (len(a) // len(b)):
+            return True  # also where too short for a compressor to tell
+        x, y = set(a), set(b)
+        if not a or len(x & y) < 0.8 * len(x | y):
             return False
-        x, y = set(a.split()), set(b.split())
-        return len(x & y) >= 0.8 * len(x | y)
+        copy, asked = " ".join(a), " ".join(b)
+        return len(copy) >= 0.7 * len(asked) and self.cost(copy, asked) <= COPY_COST
+
+    def whole(self, reply: Reply, question: str) -> bool:
+        """Whether reasoning and answer of a text, where not empty, are copies each, or make up the question together."""
+        if len(reply.reasoning) > 64 and self.foreign(reply.reasoning, question):
+            return False
+        parts = [p for p in (reply.reasoning, reply.answer) if p and not is_empty(p)]
+        if not parts:
+            return False
+        return all(self(p, question) for p in parts) or len(parts) == 2 and not self.foreign(parts[0], question) and _question_words(reply.core()) == self.asked(question)[0]
+
+
+def _question_words(text: str) -> list[str]:
+    """The words of a text in lower case, without question labels."""
+    return _WORDS.findall(_QUESTION_LABEL.sub(" ", text).lower())
 
 
 def in_other_language(texts: list[str], question_language: str | None, languages: Languages) -> bool:
@@ -159,7 +198,7 @@ def _defects(answer_field: str, raw_field: str, packed: bytes):
                     core = core_of(answer)
                     if is_refusal(core):
                         put(rid, answer_field, REFUSAL)
-                    elif question and copies(core, question):
+                    elif question and copies.whole(Reply(answer), question):
                         put(rid, answer_field, COPY)
                     elif not closed:
                         if in_other_language([answer], asked, languages):
@@ -182,9 +221,9 @@ def _defects(answer_field: str, raw_field: str, packed: bytes):
                     if is_refusal(core):
                         put(rid, raw_field, REFUSAL)
                         continue
-                    if question and copies(core, question):
-                        put(rid, raw_field, COPY)
-                        continue
+                if question and copies.whole(reply, question):
+                    put(rid, raw_field, COPY)
+                    continue
                 running = [reply.reasoning]
                 if reply.answer and len(reply.answer) > 24 and not closed:
                     running.append(reply.answer)

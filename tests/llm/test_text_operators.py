@@ -115,6 +115,21 @@ def test_defects_of_answers_and_replies(spark):
     assert defects(pairs(spark, [])) == set()
 
 
+def test_a_question_given_more_than_once_is_a_copy(spark):
+    shout, tall = f"“{QUESTION.upper()}”", "Question: " + QUESTION
+    given_rows = [
+        (1, QUESTION, "open", "s", FIVE[0], FIVE[0], FIVE[1], f"[Reasoning] {QUESTION} [Answer] {QUESTION}"),
+        (2, QUESTION, "closed", "s", f"{QUESTION} {QUESTION}", FIVE[0], "left", f"[Reasoning] {shout}\n[Answer] {tall}"),
+        (3, QUESTION, "open", "s", FIVE[0], FIVE[0], FIVE[1], f"[Reasoning] {' '.join([tall] * 20)}\n[Answer] N/A"),
+        (4, "Why so?", "open", "s", FIVE[0], FIVE[0], FIVE[1], "[Reasoning] Why so? Why so? [Answer] Why so?"),
+        (5, QUESTION, "open", "s", FIVE[0], FIVE[0], FIVE[1], "[Reasoning] Where is the tram [Answer] relative to the camera car?"),
+        (6, QUESTION, "open", "s", FIVE[0], FIVE[0], FIVE[1], f"[Reasoning] {QUESTION} {FIVE[0]} [Answer] {QUESTION}"),
+        (7, QUESTION, "closed", "s", "left", FIVE[0], "left", f"[Reasoning] {QUESTION} [Answer] left"),
+    ]
+    found = {f for f in defects(pairs(spark, corpus() + given_rows)) if f[2] == "copies_question"}
+    assert found == {(1, "raw_reasoning", "copies_question"), (2, "answer", "copies_question"), *((i, "raw_reasoning", "copies_question") for i in (2, 3, 4, 5))}
+
+
 def test_cut_texts(spark):
     full = f"{FIVE[0]} {FIVE[1]}"
     reply = f"[Reasoning] {full}\n[Answer] traffic light"
