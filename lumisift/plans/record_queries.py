@@ -198,7 +198,7 @@ select question, label, case when regexp_matches(lower(question), '{"|".join(X.C
   when try_cast(trim(label) as int) between 0 and 20 then 'counting' when try_cast(trim(label) as int) is not null then 'reading' end as task from asked where label is null or regexp_matches(label, '^[A-Za-z0-9 ]*\z')"""
 )
 def number_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a question counts, or reads a number off, for plain labels."""
+    """Whether a question counts, or reads a number off, for plain labels: the rows of its SQL; ``number_tasks_all`` has those of all labels."""
     asked = table(spark, sf_dir, "training_records").where("question is not null").select("question", F.col("hard_label.answer").alias("label")).distinct()
     return asked.where(F.col("label").isNull() | F.col("label").rlike(r"^[A-Za-z0-9 ]*\z")).select("question", "label", X.number_task(F.col("question"), F.col("label"))["task"].alias("task"))
 
@@ -223,3 +223,12 @@ def repaired_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["repaired_payloads"] = repaired_payloads
+
+
+def number_tasks_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a question counts, or reads a number off, for every label; without an oracle, as the other engine also casts labels such as '3.0' and '1e2' to numbers."""
+    asked = table(spark, sf_dir, "training_records").where("question is not null").select("question", F.col("hard_label.answer").alias("label")).distinct()
+    return asked.select("question", "label", X.number_task(F.col("question"), F.col("label"))["task"].alias("task"))
+
+
+QUERIES["number_tasks_all"] = number_tasks_all
