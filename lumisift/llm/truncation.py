@@ -16,8 +16,10 @@ A text that ends in a broken character, or in the middle of a label or of JSON,
 
 Defined results: null, blank and word-less texts (an ellipsis alone) are no cases; whole
 texts are read; repeated rows of a record count once; a null id is kept as null.
-Of all near-copies in a band the longest is aligned, as only a longer copy can show
-where a suspect would go on; suspects it doesn't decide go to the model.
+Equal texts are one class; each class of suspects is aligned with every class that shares
+a band with it, and the copies of the highest similarity that decide anything decide (cut
+if they disagree). A copy that stops where the suspect does shows nothing; suspects
+without a deciding copy go to the model.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumisift.llm.replies import CLOSERS, TERMINAL, Reply, partial_label
+from lumisift.llm.replies import CLOSERS, LABEL, TERMINAL, Reply, partial_label
 from lumisift.llm.words import Coded, mix, pieces, windows
 from lumisift.runtime import bounded_sample, cut_lineage, spread
 
@@ -43,10 +45,14 @@ SEEN_LEAST = 3
 #: Most places within a text don't end a sentence, so even a low share of endings speaks for a whole text without its last mark.
 END_LEAST = 0.05
 BANDS, ROWS, SHINGLE, SIMILARITY = 8, 3, 5, 0.8
-BROADCAST_IDS = 100_000
+BROADCAST_KEYS = 100_000
+#: Classes of a band from which it is spread over several tasks, and runs of words held by a task.
+HOT_BAND, HELD_RUNS = 5_000, 500_000
 WHOLE, CUT, UNKNOWN = "whole", "cut", "unknown"
 #: A word, an ideograph, or the end of a sentence (with closing quotes before or after it).
 _TOKEN = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+(?:['’-][^\W_㐀-鿿]+)*|[.!?。！？](?!\d)|[,;:，；：]")
+#: The words among the tokens.
+_SHINGLED = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+(?:['’-][^\W_㐀-鿿]+)*")
 _ENDS = frozenset(TERMINAL)
 _PAUSES = frozenset(",;:，；：")
 
@@ -251,7 +257,7 @@ def _judged(paragraph_field: str, raw_field: str):
 
 def _bands(texts: list[str | None]) -> list[list[int]]:
     """Of each text its band keys; none for a text under five words."""
-    coded = Coded(texts)
+    coded = Coded(texts, _SHINGLED)
     book = np.array([hash_word(w) for w in coded.words], np.uint64) if coded.words else np.empty(0, np.uint64)
     h, at = windows(book[coded.codes] if len(coded.codes) else coded.codes, coded.start, SHINGLE)
     if not len(h):
@@ -278,52 +284,77 @@ def hash_word(word: str) -> int:
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for big in batches:
-        for batch in pieces(big, [2]):
-            texts = batch.column(2).to_pylist()
-            lengths = [len(t or "") for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lengths, pa.int32()), pa.array(_bands(texts), pa.list_(pa.int64()))], names=["id", "field", "n", "bands"])
+        for batch in pieces(big, [1]):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_bands(batch.column(1).to_pylist()), pa.list_(pa.int64()))], names=["key", "bands"])
 
 
-def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    """Whether the runs of five words of two texts overlap to ``least`` (Jaccard)."""
-    x, y = ({tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)} for w in ([t for t in tokens(s) if t not in _ENDS and t not in _PAUSES] for s in (a, b)))
-    return bool(x or y) and len(x & y) >= least * len(x | y)
+def runs_of(text: str) -> frozenset[int]:
+    """The runs of five words of a text, as hashes."""
+    words = _SHINGLED.findall(text.lower())
+    return frozenset(hash(tuple(words[i : i + SHINGLE])) for i in range(len(words) - SHINGLE + 1))
+
+
+def similarity(x: frozenset[int], y: frozenset[int]) -> float:
+    """The Jaccard similarity of two sets of runs."""
+    return len(x & y) / max(1, len(x | y))
 
 
 def _from_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memo: dict[str, frozenset[int]] = {}
+    held = 0
     for batch in batches:
         columns: tuple[list, ...] = ([], [], [])
-        for rid, field, running, other in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if other and similar(running, other) and (verdict := aligned(running, other)) != UNKNOWN:
-                for column, value in zip(columns, (rid, field, verdict)):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string()))], names=["id", "field", "verdict"])
+        for key, running, other_key, other in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for k, text in ((key, running), (other_key, other)):
+                if k not in memo:
+                    if held > HELD_RUNS:
+                        memo.clear()
+                        held = 0
+                    memo[k] = runs_of(text)
+                    held += len(memo[k])
+            x, y = memo.get(key) or runs_of(running), memo[other_key]
+            if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)) or (near := similarity(x, y)) < SIMILARITY:
+                continue
+            bare = LABEL.sub(" ", without_ellipsis(other)[0])
+            if tokens(bare)[-7:] == tokens(running)[-7:] or (verdict := aligned(running, bare)) == UNKNOWN:
+                continue
+            for column, value in zip(columns, (key, near, verdict == CUT)):
+                column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.bool_()))], names=["key", "near", "cut"])
+
+
+def _sharing(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """Distinct (key, copy_key) of the rows (key, band) that share a band; a band of many copies is spread by their keys."""
+    hot = F.broadcast(held.groupBy("band").agg(F.ceil(F.count("*") / HOT_BAND).cast("int").alias("parts")).where("parts > 1"))
+    mine = asked.join(hot, "band", "left").select("key", "band", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+    theirs = held.join(hot, "band", "left").select(F.col("key").alias("copy_key"), "band", F.pmod(F.hash("key"), F.coalesce("parts", F.lit(1))).alias("part"))
+    return mine.join(theirs, ["band", "part"]).where("key <> copy_key").select("key", "copy_key").distinct()
+
+
+def _kept(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` whose ``name`` is among ``keys``, which are broadcast if few."""
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return df.join(F.broadcast(keys) if few else keys, name, "left_semi")
 
 
 def copy_verdicts(suspects: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, field, verdict) of suspects decided by near-copies; ``suspects`` has id, field, running; ``texts`` id, field, text.
+    """(id, field, cut) of suspects decided by near-copies; ``suspects`` has id, field, running; ``texts`` id, field, text.
 
-    Equal band keys are aggregated before the shuffle to the longest text each, so a band
-    that a third of all texts share stays one row.
+    Equal texts are one class, so a text that a third of all rows share is aligned once.
     """
-    signed = texts.mapInArrow(_banded, "id long, field string, n int, bands array<long>")
-    longest = signed.select("id", "field", "n", F.explode("bands").alias("band")).groupBy("band").agg(F.max(F.struct("n", "id", "field")).alias("copy"))
-    asked = suspects.select("id", "field", F.col("running").alias("text")).mapInArrow(_banded, "id long, field string, n int, bands array<long>")
-    candidates = (
-        asked.select("id", "field", F.explode("bands").alias("band"))
-        .join(longest, "band")
-        .where("id <> copy.id or field <> copy.field")
-        .select("id", "field", F.col("copy.id").alias("copy_id"), F.col("copy.field").alias("copy_field"))
-        .distinct()
-    )
-    candidates = cut_lineage(candidates)
-    wanted = candidates.select("copy_id").distinct()
-    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(wanted), texts["id"] == wanted["copy_id"], "left_semi")
-    copies = texts.select(F.col("id").alias("copy_id"), F.col("field").alias("copy_field"), F.col("text").alias("other")).distinct()
-    pairs = candidates.join(copies, ["copy_id", "copy_field"]).join(suspects.select("id", "field", "running"), ["id", "field"]).select("id", "field", "running", "other")
-    found = pairs.mapInArrow(_from_copies, "id long, field string, verdict string")
-    return found.groupBy("id", "field").agg(F.max(F.col("verdict") == CUT).alias("cut"))
+    signed = "key string, bands array<long>"
+    suspects = suspects.select("id", "field", F.md5("running").alias("key"), "running")
+    classes = suspects.dropDuplicates(["key"]).select("key", "running")
+    asked = cut_lineage(classes.mapInArrow(_banded, signed).select("key", F.explode("bands").alias("band")))
+    keyed = texts.select(F.md5("text").alias("key"), "text")
+    held = keyed.mapInArrow(_banded, signed).select("key", F.explode("bands").alias("band"))
+    held = cut_lineage(_kept(held, asked.select("band").distinct(), "band").distinct())
+    candidates = cut_lineage(_sharing(asked, held))
+    copies = _kept(keyed.toDF("copy_key", "other"), candidates.select("copy_key").distinct(), "copy_key").dropDuplicates(["copy_key"])
+    pairs = candidates.join(classes, "key").join(copies, "copy_key").select("key", "running", "copy_key", "other")
+    found = pairs.mapInArrow(_from_copies, "key string, near double, cut boolean")
+    decided = found.groupBy("key").agg(F.max(F.struct("near", "cut")).alias("best")).select("key", F.col("best.cut").alias("cut"))
+    return suspects.join(decided, "key").select("id", "field", "cut").distinct()
 
 
 def by_model(model: Terminality):

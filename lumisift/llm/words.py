@@ -37,14 +37,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Coded:
     """The words of many texts as one code array; text i has the codes start[i]:start[i + 1]."""
 
-    def __init__(self, texts: list[str | None]) -> None:
+    def __init__(self, texts: list[str | None], word: re.Pattern[str] = WORD) -> None:
         book: dict[str, int] = defaultdict()
         book.default_factory = book.__len__
         words: list[str] = []
         start = np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
             if text:
-                words += WORD.findall(text.lower())
+                words += word.findall(text.lower())
             start[i + 1] = len(words)
         self.codes = np.fromiter(map(book.__getitem__, words), np.int64, len(words))
         self.start, self.words = start, list(book)

@@ -162,6 +162,31 @@ def test_a_copy_in_another_record_decides(spark):
         assert rows(truncation.copy_verdicts(suspects, texts.where(F.col("id").isin(1, partner)))) == [(1, "f", cut)]
 
 
+def test_a_longer_text_of_the_bands_hides_no_copy(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)]
+    base = " ".join(words[:100])
+    longer = " ".join(words[:100] + [f"x{w}" for w in words[:60]]) + "."  # similarity 0.6
+    for end, cut in ((" goes on here.", True), (".", False)):
+        held = [(1, base), (2, base + end), *((10 + i, longer) for i in range(3)), (20, base + " …"), (21, base)]
+        texts = spark.createDataFrame([(i, "f", t) for i, t in held], "id long, field string, text string")
+        suspects = texts.where("id = 1").withColumnRenamed("text", "running")
+        assert rows(truncation.copy_verdicts(suspects, texts)) == [(1, "f", cut)]
+
+
+def test_copies_in_a_hot_band_are_all_aligned(spark, monkeypatch):
+    monkeypatch.setattr(truncation, "HOT_BAND", 3)
+    asked = spark.createDataFrame([("s", 1), ("s", 2), ("c1", 1)], "key string, band long")
+    held = spark.createDataFrame([(f"c{i}", 1) for i in range(20)] + [("c3", 2), ("c50", 3)], "key string, band long")
+    expected = [("c1", f"c{i}") for i in range(20) if i != 1] + [("s", f"c{i}") for i in range(20)]
+    assert rows(truncation._sharing(asked, held)) == sorted(expected, key=repr)
+
+
+def test_runs_have_single_ideographs():
+    chinese = "红色的公交车停在路口旁边等待行人通过"
+    assert len(truncation.runs_of(chinese)) == len(chinese) - 4
+    assert truncation._bands([chinese])[0]
+
+
 def test_held_out_accuracy_of_the_closing_word_model():
     rng = random.Random(3)
     places = ["the corner", "the old mill", "the kiosk", "the canal", "the tram stop"]
