@@ -30,14 +30,12 @@ from pyspark.sql import functions as F
 
 from lumisift.llm import truncation
 from lumisift.llm.languages import Languages
-from lumisift.llm.replies import BULLET, Reply, sentences
+from lumisift.llm.replies import BULLET, LABEL, Reply, sentences
 from lumisift.runtime import bounded_sample, cut_lineage, spread
 
 EMPTY, REFUSAL, COPY, TRUNCATED, LANGUAGE = "empty_answer", "refusal", "copies_question", "truncated_answer", "other_language"
 FIT_RECORDS = 8_000
 COPY_COST = 0.3
-#: A refusal is a short reply; longer ones are looked through for content by their readers.
-REFUSAL_MOST = 300
 #: Texts that stand for no answer.
 PLACEHOLDERS = frozenset("n/a na nan none null nil empty <empty> unknown undefined tbd todo - -- . .. ... … ? ?? _".split()) | {"no answer", "not available"}
 #: Patterns of sentences that decline to answer, by language.
@@ -71,6 +69,8 @@ _QUESTION_LABEL = re.compile(r"\b(?:question|q|frage|pregunta)\s*[:：]", re.I)
 _HEAD = 120
 _LABEL_WORDS = frozenset(("question", "q", "frage", "pregunta"))
 _WORDS = re.compile(r"[^\W_]+")
+#: More letters than any placeholder has; bullets hold none.
+_WORDED = re.compile(r"[^\W\d_](?:[\W\d_]*[^\W\d_]){20}")
 _FOUND = "id long, field string, defect string"
 
 
@@ -85,7 +85,7 @@ def is_empty(text: str | None) -> bool:
         return True
     if text.strip().lower() in PLACEHOLDERS:
         return True
-    if len(text) > 64:
+    if len(text) > 64 and not text.lstrip().startswith("{") and _WORDED.search(LABEL.sub(" ", text[:200])):
         return False
     core = core_of(text)
     return core.strip().lower() in PLACEHOLDERS or not any(map(str.isalnum, core))
@@ -93,14 +93,22 @@ def is_empty(text: str | None) -> bool:
 
 def is_refusal(core: str) -> bool:
     """Whether all sentences of a core decline to answer or are polite filler, and one declines."""
-    if len(core) > REFUSAL_MOST:
+    if not may_refuse(core):
         return False
-    low = core.lower().replace("’", "'")
-    if not any(t in low for t in _TRIGGERS):
-        return False
-    held = [s.replace("’", "'") for s in sentences(core)]
-    declines = [bool(_REFUSES.search(s)) for s in held]
-    return any(declines) and all(d or _POLITE.search(s) for d, s in zip(declines, held))
+    declines = False
+    for sentence in sentences(core):
+        held = sentence.replace("’", "'")
+        if _REFUSES.search(held):
+            declines = True
+        elif not _POLITE.search(held):
+            return False
+    return declines
+
+
+def may_refuse(text: str) -> bool:
+    """Whether a text holds a word that is in every refusal."""
+    low = text.lower().replace("’", "'")
+    return any(t in low for t in _TRIGGERS)
 
 
 class Copies:
@@ -194,7 +202,7 @@ def _defects(answer_field: str, raw_field: str, packed: bytes):
                 asked = asked_memo[question]
                 if is_empty(answer):
                     put(rid, answer_field, EMPTY)
-                elif len(answer) >= 8:
+                else:
                     core = core_of(answer)
                     if is_refusal(core):
                         put(rid, answer_field, REFUSAL)
@@ -209,18 +217,18 @@ def _defects(answer_field: str, raw_field: str, packed: bytes):
                             put(rid, answer_field, TRUNCATED)
                 if raw is None:
                     continue
-                if is_empty(raw):
+                if len(raw) <= 64 and is_empty(raw):
                     put(rid, raw_field, EMPTY)
                     continue
                 reply = Reply(raw)
-                if len(raw) < REFUSAL_MOST + 2 * len(question or ""):
+                if reply.layout == "json" or not _WORDED.search(reply.reasoning):
                     core = reply.core()
                     if not any(map(str.isalnum, core)) or core.lower() in PLACEHOLDERS:
                         put(rid, raw_field, EMPTY)
                         continue
-                    if is_refusal(core):
-                        put(rid, raw_field, REFUSAL)
-                        continue
+                if may_refuse(f"{reply.reasoning}\n{reply.answer or ''}") and is_refusal(reply.core()):
+                    put(rid, raw_field, REFUSAL)
+                    continue
                 if question and copies.whole(reply, question):
                     put(rid, raw_field, COPY)
                     continue

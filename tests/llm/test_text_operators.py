@@ -130,6 +130,21 @@ def test_a_question_given_more_than_once_is_a_copy(spark):
     assert found == {(1, "raw_reasoning", "copies_question"), (2, "answer", "copies_question"), *((i, "raw_reasoning", "copies_question") for i in (2, 3, 4, 5))}
 
 
+def test_defects_of_any_length(spark):
+    refusal = "I'm sorry, but I cannot answer this. " * 30
+    given_rows = [
+        (1, QUESTION, "open", "s", refusal, FIVE[0], FIVE[1], f"[Reasoning] {refusal}\n[Answer] I can't"),
+        (2, "这是什么？", "closed", "s", "我无法回答", FIVE[0], "x", "[Reasoning]\n\n[Answer]\n" * 60),
+        (3, "这是什么？", "closed", "s", "这是什么？", FIVE[0], "x", None),
+        (4, QUESTION, "closed", "s", "I can't", FIVE[0], "left", f"[Reasoning] {refusal}{FIVE[0]}\n[Answer] left"),
+        (5, QUESTION, "closed", "s", "left", FIVE[0], "left", None),
+        (6, QUESTION, "open", "s", "[Answer]\n" * 60, FIVE[0], "left", " " * 400),
+    ]
+    found = {f for f in defects(pairs(spark, corpus() + given_rows)) if f[2] in ("empty_answer", "refusal", "copies_question")}
+    a, r = "answer", "raw_reasoning"
+    assert found == {(1, a, "refusal"), (1, r, "refusal"), (2, a, "refusal"), (2, r, "empty_answer"), (3, a, "copies_question"), (4, a, "refusal"), (6, a, "empty_answer"), (6, r, "empty_answer")}
+
+
 def test_cut_texts(spark):
     full = f"{FIVE[0]} {FIVE[1]}"
     reply = f"[Reasoning] {full}\n[Answer] traffic light"
