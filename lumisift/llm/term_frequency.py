@@ -12,6 +12,9 @@ normalisation; rows with equal id and equal terms count once, so repeated rows o
 a record do; rows with a null id count as one record; an empty table gives an
 empty result. A term in a record's array field counts once a position for
 ``occurrences`` and once for ``records``.
+
+Repeated rows are merged before that by a shuffle of all (record, field, term) rows, so
+the counters spare only the second shuffle, that of the counts.
 """
 
 from __future__ import annotations
