@@ -5,8 +5,8 @@ number form, plural, articles and hedging words removed) and looked up among the
 forms of all entries and aliases; the rest is searched in a BK-tree under the
 unrestricted Damerau-Levenshtein distance, which is a metric, so the triangle
 inequality leaves out subtrees without losing an entry. Up to ``broadcast_max`` forms
-the tree goes to every executor; a longer list is split into shards, each with its own
-tree, and the nearest of the shards' winners is kept.
+the tree goes to every executor; of a longer list the forms, each with its entry, are
+split into shards with a tree each, and the shards' winner of the lowest rank is kept.
 
 Defined results: null and blank values give no row; a value equal to an entry gives no
 row with ``inexact_only``; of several entries equally near the one that shares most
@@ -80,17 +80,24 @@ class Entries:
         self.tree = BKTree(self.forms)
         self.memo: dict[str, tuple[int, int]] = {}
 
-    def _exact(self, tokens: list[str]) -> int | None:
-        if not tokens:
-            return None
+    @classmethod
+    def of_forms(cls, forms: dict[str, int]) -> Entries:
+        """The entries of plain forms whose owners are known."""
+        made = cls([])
+        made.forms, made.tree = forms, BKTree(forms)
+        return made
+
+    def _exact(self, tokens: list[str]) -> tuple[int, int] | None:
+        """(rank of the lookup, entry id)."""
         joined = "".join(tokens)
         if joined in self.forms:
-            return self.forms[joined]
+            return 0, self.forms[joined]
         if number := _NUMBER.match(" ".join(tokens)):
-            return self.forms.get(number[1])
-        return next((self.forms[f] for s in _singulars(tokens[-1]) if (f := "".join(tokens[:-1]) + s) in self.forms), None)
+            return (1, self.forms[number[1]]) if number[1] in self.forms else None
+        return next(((2 + i, self.forms[f]) for i, s in enumerate(_singulars(tokens[-1])) if (f := "".join(tokens[:-1]) + s) in self.forms), None)
 
-    def _nearest(self, tokens: list[str]) -> tuple[int, int]:
+    def _nearest(self, tokens: list[str]) -> tuple[float, int, int]:
+        """(distance, letters in place as a negative number, entry id)."""
         best = (99, 0, UNMATCHED)
         joined = "".join(tokens)
         for form in (joined, *("".join(tokens[:-1]) + s for s in _singulars(tokens[-1]))):
@@ -98,30 +105,36 @@ class Entries:
                 if d <= allowed_distance(found):
                     same = sum(x == y for x, y in zip(form, found))
                     best = min(best, (d + (form != joined) * 0.5, -same - (len(form) == len(found)), self.forms[found]))
-        return best[0], best[2]
+        return best
 
-    def match(self, value: str) -> tuple[float, int]:
-        """(distance, entry id), -1 if the value as a whole is no entry."""
+    def match(self, value: str) -> tuple[float, float, int, int, int]:
+        """(0 for a lookup or 1 for a search, its rank in three numbers, entry id), id -1 if the value as a whole is no entry; the lowest is the best."""
         if value not in self.memo:
             if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[value] = self._match(plain_forms(value))
         return self.memo[value]
 
-    def _match(self, forms: list[list[str]]) -> tuple[float, int]:
-        for tokens in forms:
-            if (exact := self._exact(tokens)) is not None:
-                return 0, exact
+    def _match(self, forms: list[list[str]]) -> tuple[float, float, int, int, int]:
+        for i, tokens in enumerate(forms):
+            if tokens and (exact := self._exact(tokens)) is not None:
+                return 0, i, exact[0], 0, exact[1]
         longest = max(map(len, self.forms), default=0) + 8
-        near = [self._nearest(t) for t in forms if len("".join(t)) <= longest and "".join(t) not in PLACEHOLDERS]
-        return min(near, default=(99, UNMATCHED), key=lambda x: x[0])
+        near = [(1, d, i, same, found) for i, t in enumerate(forms) if len("".join(t)) <= longest and "".join(t) not in PLACEHOLDERS for d, same, found in [self._nearest(t)]]
+        return min(near, default=(1, 99, 0, 0, UNMATCHED))
+
+
+def _forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [("".join(form), kind, i) for i, answer, aliases in zip(*(c.to_pylist() for c in batch.columns)) for kind, names in enumerate(([answer], aliases or [])) for name in names for form in plain_forms(name or "")]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["form", "kind", "entry_id"])
 
 
 def _mapper(rows: list[tuple[int, str, list[str] | None]]):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = Entries(rows)
         for batch in batches:
-            ids = [entries.match(v)[1] for v in batch.column(2).to_pylist()]
+            ids = [entries.match(v)[-1] for v in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], names=["id", "field", "typed", "answer_id"])
 
     return mapped
@@ -133,15 +146,16 @@ def _sharded(typed: DataFrame, listed: DataFrame, shards: int) -> DataFrame:
     values = typed.select("typed").distinct()
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     left = values.withColumn("shard", upto(shards)).withColumn("salt", F.pmod(F.xxhash64("typed"), F.lit(salts)))
-    right = listed.withColumn("shard", F.pmod(F.xxhash64("entry_id"), F.lit(shards))).withColumn("salt", upto(salts))
+    owned = listed.mapInArrow(_forms_of, "form string, kind int, entry_id long").groupBy("form").agg(F.min(F.struct("kind", "entry_id"))["entry_id"].alias("entry_id"))
+    right = owned.withColumn("shard", F.pmod(F.xxhash64("form"), F.lit(shards))).withColumn("salt", upto(salts))
 
     def winners(v: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
-        entries = Entries([(i, a, None if b is None else list(b)) for i, a, b in zip(e["entry_id"], e["answer"], e["aliases"])])
+        entries = Entries.of_forms(dict(zip(e["form"], e["entry_id"])))
         found = [entries.match(x) for x in v["typed"]]
-        return pd.DataFrame({"typed": v["typed"], "d": [float(f[0]) for f in found], "answer_id": [f[1] for f in found]})
+        return pd.DataFrame({"typed": v["typed"], **{f"r{k}": [float(f[k]) for f in found] for k in range(4)}, "answer_id": [f[4] for f in found]})
 
-    won = left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInPandas(winners, "typed string, d double, answer_id long")
-    best = won.where("answer_id >= 0").groupBy("typed").agg(F.min(F.struct("d", "answer_id")).alias("best"))
+    won = left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInPandas(winners, "typed string, r0 double, r1 double, r2 double, r3 double, answer_id long")
+    best = won.where("answer_id >= 0").groupBy("typed").agg(F.min(F.struct("r0", "r1", "r2", "r3", "answer_id")).alias("best"))
     return typed.join(best, "typed", "left").select("id", "field", "typed", F.coalesce("best.answer_id", F.lit(UNMATCHED).cast("long")).alias("answer_id"))
 
 

@@ -306,6 +306,15 @@ def test_typed_values_find_their_entries(spark, bound):
     assert rows(found) == sorted(((i, f, v, a) for i, (v, a) in enumerate(TYPED.items()) for f in ("hard", "dist")), key=repr)
 
 
+def test_a_sharded_list_gives_the_same_entries(spark):
+    vocabulary = [(1, "tramway", ["taxi", "cab"]), (2, "taxi", None), (3, "kiosks", []), (4, "cab", None), (5, "bridge", None), (6, "fridge", None), (7, "zebra", ["kiosk"]), (8, "bridle", ["xridge"])]
+    reference = spark.createDataFrame(vocabulary, "answer_id long, answer string, aliases array<string>")
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(["Taxi", "the cab", "bridg", "bridxe", "ridge", "Kiosks.", "kiosc", "taxxi", "none at all"])], "record_id long, hard string")
+    whole, sharded = (rows(canonical_map.map_typed(df, "record_id", {"hard": F.array("hard")}, reference, broadcast_max=n)) for n in (100, 1))
+    assert sharded == whole
+    assert {r[2]: r[3] for r in whole}["Taxi"] == 2
+
+
 # --- 7
 
 
