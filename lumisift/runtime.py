@@ -5,9 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Folders written by :func:`stored`, by application.
+_STORED: dict[str, list[str]] = {}
+#: Folders of :func:`stored_once`, by application, name and files read.
+_ONCE: dict[tuple, str] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of the data directory."""
@@ -17,11 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests, a laptop) a local one is set.
+    Where the session names none, a local one is set if it runs in one process (tests, a
+    laptop); on a cluster that is an error, as executors don't see each other's disks.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="lumisift-checkpoint-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)
@@ -35,16 +44,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Computes ``df`` once into Parquet files in the shared folder and reads them back."""
+    """Computes ``df`` once into Parquet files in the shared folder and reads them back; :func:`clear_stored` removes them."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_once(df: DataFrame, name: str, source: DataFrame) -> DataFrame:
+    """As :func:`stored`, but a folder of that name that was made in this session from the same files of ``source`` is read again, if it is still there."""
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, name, tuple(sorted(source.inputFiles())))
+    if key in _ONCE and key[2]:
+        try:
+            return spark.read.parquet(_ONCE[key])
+        except AnalysisException:  # removed since
+            pass
+    held = stored(df, name)
+    _ONCE[key] = _STORED[key[0]][-1]
+    return held
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Removes all folders that :func:`stored` wrote in this session, whose DataFrames can't be used any more; gives their number."""
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def bounded_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
@@ -59,10 +91,22 @@ def bounded_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
     return df.where(F.pmod(h, F.lit(fine)) <= int(share * fine)).orderBy(h, key).limit(size)
 
 
+def _bytes_of(text: str) -> int:
+    """A size as the session states it: a number, or one with b, k, m or g behind it."""
+    low = text.lower().removesuffix("b") or "0"
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(low[-1], 1)
+    return int(low if unit == 1 else low[:-1]) * unit
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Redistributes a table that is read in fewer than half as many tasks as there are cores; a larger one, and one that is shuffled anyway, stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    execution = df._jdf.queryExecution()
-    if execution.executedPlan().nodeName() == "AdaptiveSparkPlan":  # its partitions are known only once it ran
+    """Redistributes the projection of a table whose files make fewer than half as many tasks as there are cores; others stay as they are.
+
+    Only the sizes of a few files are read for that: a table of many files is never listed anew.
+    """
+    spark = df.sparkSession
+    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if not files or 2 * len(files) > cores:
         return df
-    return df if 2 * execution.toRdd().getNumPartitions() > cores else df.repartition(cores)
+    task = _bytes_of(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    total = spark.read.format("binaryFile").load(files).agg(F.sum("length").alias("n")).first()["n"] or 0
+    return df if 2 * total > cores * task else df.repartition(cores)
