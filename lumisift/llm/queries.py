@@ -83,7 +83,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     scores = lookalikes.fitted(documents, "doc_id", "text")
-    return leakage.leaks(leakage.index(documents, scores=scores), table(spark, sf_dir, "heldout_items"), scores)
+    return leakage.leaks(leakage.index(documents, scores=scores), documents, table(spark, sf_dir, "heldout_items"), scores)
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
