@@ -28,6 +28,18 @@ def damerau(a: str, b: str) -> int:
     return rows[-1][-1]
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether two strings are equal or one edit apart, transpositions of neighbours included."""
+    x, y = len(a), len(b)
+    if abs(x - y) > 1:
+        return False
+    i = 0
+    while i < x and i < y and a[i] == b[i]:
+        i += 1
+    a, b = a[i:], b[i:]
+    return a[1:] == b[1:] or a[1:] == b or a == b[1:] or (a[:2] == b[1::-1] and len(a) > 1 < len(b) and a[2:] == b[2:])
+
+
 class BKTree:
     """All stored strings within a distance of a query; subtrees are left out by the triangle inequality."""
 

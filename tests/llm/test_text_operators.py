@@ -436,6 +436,12 @@ def test_looked_up_terms_are_hit_by_every_passage(n, data):
     assert len(whole) >= hits
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("abc", max_size=5), st.text("abc", max_size=5))
+def test_one_edit_equals_the_distance(a, b):
+    assert spelling.one_edit(a, b) == (spelling.damerau(a, b) <= 1)
+
+
 # --- 9
 
 
