@@ -71,7 +71,7 @@ _LABEL_WORDS = frozenset(("question", "q", "frage", "pregunta"))
 _WORDS = re.compile(r"[^\W_]+")
 #: More letters than any placeholder has; bullets hold none.
 _WORDED = re.compile(r"[^\W\d_](?:[\W\d_]*[^\W\d_]){20}")
-_FOUND = "id long, field string, defect string"
+_FOUND = "id long, field string, verdict string, running string, answer string"
 
 
 def core_of(text: str) -> str:
@@ -185,16 +185,16 @@ def in_other_language(texts: list[str], question_language: str | None, languages
 
 def _defects(answer_field: str, raw_field: str, packed: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, model = pickle.loads(packed)  # noqa: S301 - made by defects()
+        languages = pickle.loads(packed)  # noqa: S301 - made by defects()
         copies, asked_memo = Copies(), {}
         for batch in batches:
-            columns: tuple[list, ...] = ([], [], [])
+            columns: tuple[list, ...] = ([], [], [], [], [])
 
-            def put(*row: object, columns: tuple[list, ...] = columns) -> None:
-                for column, value in zip(columns, row):
+            def put(rid: int | None, field: str, verdict: str, running: str | None = None, end: str | None = None, columns: tuple[list, ...] = columns) -> None:
+                for column, value in zip(columns, (rid, field, verdict, running, end)):
                     column.append(value)
 
-            for rid, question, answer, raw, sibling, closed in zip(*(c.to_pylist() for c in batch.columns)):
+            for rid, question, answer, raw, paragraph, sibling, closed in zip(*(c.to_pylist() for c in batch.columns)):
                 if question not in asked_memo:
                     if len(asked_memo) > 100_000:
                         asked_memo.clear()
@@ -212,9 +212,10 @@ def _defects(answer_field: str, raw_field: str, packed: bytes):
                         if in_other_language([answer], asked, languages):
                             put(rid, answer_field, LANGUAGE)
                         verdict = truncation.judge(answer, sibling) if answer != sibling else truncation.WHOLE
-                        bare = truncation.without_ellipsis(answer)[0]
-                        if verdict == truncation.CUT or verdict == truncation.UNKNOWN and model.unfinished(bare):
+                        if verdict == truncation.CUT:
                             put(rid, answer_field, TRUNCATED)
+                        elif verdict == truncation.UNKNOWN:
+                            put(rid, answer_field, verdict, truncation.without_ellipsis(answer)[0])
                 if raw is None:
                     continue
                 if len(raw) <= 64 and is_empty(raw):
@@ -237,20 +238,23 @@ def _defects(answer_field: str, raw_field: str, packed: bytes):
                     running.append(reply.answer)
                 if in_other_language(running, asked, languages):
                     put(rid, raw_field, LANGUAGE)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string()))], names=["id", "field", "defect"])
+                verdict, undecided = truncation.judge_reply(raw, paragraph, sibling, question)
+                if verdict == truncation.CUT:
+                    put(rid, raw_field, TRUNCATED)
+                elif verdict == truncation.UNKNOWN:
+                    put(rid, raw_field, verdict, undecided, sibling or answer)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i else pa.int64()) for i, c in enumerate(columns)], names=["id", "field", "verdict", "running", "answer"])
 
     return run
 
 
 def defects(df: DataFrame, id_col: str, question: str, answer: str, raw: str, paragraph: str, final_answer: str, closed: str) -> DataFrame:
     """(id, field, defect) of every defective answer and reply; ``closed`` is a SQL condition for records with short answers."""
-    named = {"question": question, "answer": answer, "raw": raw, "sibling": final_answer}
+    named = {"question": question, "label": answer, "raw": raw, "paragraph": paragraph, "sibling": final_answer}
     rows = spread(df.select(F.col(id_col).cast("long").alias("id"), *(F.col(c).alias(n) for n, c in named.items()), F.coalesce(F.expr(closed), F.lit(False)).alias("closed")))
-    sample = bounded_sample(rows.select("id", "question", "answer", "raw"), "id", FIT_RECORDS, 5).collect()
+    sample = bounded_sample(rows.select("id", "question", "raw"), "id", FIT_RECORDS, 5).collect()
     languages = Languages().fit([(r["question"], f"{r['question']} {BULLET.sub('', Reply(r['raw']).core())}") for r in sample if r["question"] and r["raw"]])
-    model = truncation.Terminality().fit([t for r in sample for t in (r["raw"], r["answer"]) if t])
-    found = cut_lineage(rows.mapInArrow(_defects(answer, raw, pickle.dumps((languages, model))), _FOUND).distinct())
-    cut = truncation.truncated(df, id_col, paragraph, raw, final_answer, question, answer).where(F.col("field") == raw)
-    whole_reply = found.where(F.col("defect").isin(EMPTY, REFUSAL, COPY)).select("id", "field")
-    cut = cut.join(whole_reply, ["id", "field"], "left_anti").select("id", "field", F.lit(TRUNCATED).alias("defect"))
-    return found.unionByName(cut).distinct()
+    found = cut_lineage(rows.mapInArrow(_defects(answer, raw, pickle.dumps(languages)), _FOUND).distinct())
+    cut = truncation.settled(found.where(F.col("verdict") == truncation.UNKNOWN), truncation.texts_of(rows))
+    known = found.where(F.col("verdict") != truncation.UNKNOWN).select("id", "field", F.col("verdict").alias("defect"))
+    return known.unionByName(cut.select("id", "field", F.lit(TRUNCATED).alias("defect"))).distinct()

@@ -3,51 +3,57 @@
 A text that doesn't end a sentence is a suspect: it was cut or only lacks its last
 punctuation mark. It is decided by
 
-1. its near-copies: the other text of its record, in which a cut paragraph or reply goes
-   on, and near-copies in other records (min-hash banding over runs of five words,
-   verified at a similarity of 0.8). The suspect's closing words are aligned with the
-   copy: if the copy goes on within a word or sentence, the suspect was cut; if the copy
-   ends the sentence there, it is whole;
-2. without such a copy, by how often its closing words end a sentence (a back-off model
-   of up to four closing words, fitted on a bounded sample of ``FIT_TEXTS`` texts); a
-   closing word never seen whole is a piece of one.
-
-A text that ends in a broken character, or in the middle of a label or of JSON, was cut.
+1. the other text of its record, in which a cut paragraph or reply goes on;
+2. near-copies in other records. A cut text is the beginning of its copy, so min-hash
+   signatures (runs of five words, eight bands of three) are made of the beginnings of all
+   texts, at lengths that grow by a quarter, and a suspect's is compared with those of its
+   own length. A copy must hold at least 0.8 of the suspect's runs. The suspect's closing
+   words are aligned with the copy: if the copy goes on within a word or sentence, the
+   suspect was cut; if the copy ends the sentence there, it is whole;
+3. without such a copy, by how often its closing words end a sentence: counts of up to
+   four closing words, with back-off, over all texts. A closing word hardly ever seen
+   within a text is a piece of one.
+
+Bands and closing words of all texts come from one pass. It keeps only what a suspect asks
+for, by a bit map of fixed size over the suspects' hashes; joins by the hashes then make it
+exact. A text that ends in a broken character, or in the middle of a label or of JSON, was
+cut.
 
 Defined results: null, blank and word-less texts (an ellipsis alone) are no cases; whole
-texts are read; repeated rows of a record count once; a null id is kept as null.
-Equal texts are one class; each class of suspects is aligned with every class that shares
-a band with it, and the copies of the highest similarity that decide anything decide (cut
-if they disagree). A copy that stops where the suspect does shows nothing; suspects
-without a deciding copy go to the model.
+texts are read; repeated rows of a record count once (in the counts of closing words they
+weigh twice); a null id is kept as null. Equal texts are one class; each class of suspects
+is aligned with every class that shares a band with it, and of the copies that hold most of
+it and least else the majority decides (cut if they are even). A copy that stops where the
+suspect does shows nothing.
 """
 
 from __future__ import annotations
 
-import pickle
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumisift.llm.joins import salted_join, small
+from lumisift.llm.key_map import KeyMap
 from lumisift.llm.replies import CLOSERS, LABEL, TERMINAL, Reply, partial_label
 from lumisift.llm.words import Coded, mix, pieces, windows
-from lumisift.runtime import bounded_sample, cut_lineage, spread
+from lumisift.runtime import cut_lineage, spread, stored
 
-FIT_TEXTS = 8_000
 LONGEST = 4
-SEEN_LEAST = 3
+#: Shares of all words from which a word is known, a run of words is taken into account, and a word is common.
+KNOWN, SEEN, COMMON = 4e-7, 1e-6, 0.004
+#: The same as counts, for small corpora.
+KNOWN_LEAST, SEEN_LEAST, COMMON_LEAST = 1, 3, 100
 #: Most places within a text don't end a sentence, so even a low share of endings speaks for a whole text without its last mark.
 END_LEAST = 0.05
 BANDS, ROWS, SHINGLE, SIMILARITY = 8, 3, 5, 0.8
-BROADCAST_KEYS = 100_000
-#: Classes of a band from which it is spread over several tasks, and runs of words held by a task.
-HOT_BAND, HELD_RUNS = 5_000, 500_000
+#: Runs of words held by a task.
+HELD_RUNS = 500_000
 WHOLE, CUT, UNKNOWN = "whole", "cut", "unknown"
 #: A word, an ideograph, or the end of a sentence (with closing quotes before or after it).
 _TOKEN = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+(?:['’-][^\W_㐀-鿿]+)*|[.!?。！？](?!\d)|[,;:，；：]")
@@ -67,66 +73,68 @@ def ends_sentence(text: str) -> bool:
     return bool(t) and (t[-1] in _ENDS or t.rstrip(CLOSERS + " ")[-1:] in _ENDS or t[-1] in "}")
 
 
-class Terminality:
-    """How often words end a sentence: counts of up to ``LONGEST`` closing words."""
-
-    def __init__(self) -> None:
-        self.total: Counter[str] = Counter()
-        self.ends: Counter[str] = Counter()
-        self.common = 0.0
-
-    def fit(self, texts: list[str]) -> Terminality:
-        for text in texts:
-            held = tokens(without_ellipsis(text)[0])
-            for i, token in enumerate(held[:-1]):
-                if token in _ENDS or token in _PAUSES:
-                    continue
-                ended = held[i + 1] in _ENDS
-                if i > 1 and held[i - 1] not in _ENDS:
-                    context = f"{held[i - 2]} {held[i - 1]} *"
-                    self.total[context] += 1
-                    self.ends[context] += ended
-                gram = ""
-                for k in range(i, max(-1, i - LONGEST), -1):
-                    if held[k] in _ENDS:
-                        break
-                    gram = f"{held[k]} {gram}"
-                    self.total[gram] += 1
-                    if ended:
-                        self.ends[gram] += 1
-        self.common = max(100.0, 0.004 * sum(n for g, n in self.total.items() if " " not in g.rstrip()))
-        self.total = Counter({g: n for g, n in self.total.items() if n >= SEEN_LEAST or " " not in g.rstrip()})
-        self.ends = Counter({g: n for g, n in self.ends.items() if g in self.total})
-        return self
-
-    def ends_probability(self, text: str) -> float:
-        """The share of the longest known run of closing words that ended a sentence; 0 for a closing word never seen whole."""
+def hash_word(word: str) -> int:
+    """A hash of a word that is the same in every process."""
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
+
+
+def gram_hashes(h: np.ndarray, longest: int = LONGEST) -> list[np.ndarray]:
+    """Of each place the hashes of the runs of one, two, ... words that end there; runs that start before the first word hash to anything."""
+    out = [mix(h)]
+    for k in range(1, longest):
+        before = np.r_[h[:1].repeat(min(k, len(h))), h[:-k]] if len(h) else h
+        with np.errstate(over="ignore"):
+            out.append(mix(out[-1] * np.uint64(31) + before))
+    return out
+
+
+def context_hash(pair: np.ndarray) -> np.ndarray:
+    """The hash of "anything after these two words"."""
+    return mix(pair ^ np.uint64(0x5851F42D4C957F2D))
+
+
+class Asked:
+    """The hashes that tell whether a text's closing words end a sentence, and how; 0 where there is no such run."""
+
+    def __init__(self, text: str, answer: str | None) -> None:
         held = tokens(text)
-        if not held or held[-1] in _PAUSES:
-            return 0.0
-        if len(held) > 1 and self.total.get(f"{held[-2]} {held[-1]} ", 0) < SEEN_LEAST and (self.total.get(f"{held[-2]} ", 0) >= self.common or len(held[-1]) == 1 and held[-1].isascii() and held[-1].isalpha()):
-            return 0.0  # after so common a word all whole words are known, and so are words of one letter
-        best, gram = 0.0, ""
-        for token in held[: -LONGEST - 1 : -1]:
+        self.held = held
+        self.piece = len(held) > 1 and len(held[-1]) == 1 and held[-1].isascii() and held[-1].isalpha()
+        last = np.array([hash_word(w) for w in held[-LONGEST:]], np.uint64)
+        grams = [int(g[-1]) for g in gram_hashes(last)][: len(last)] if len(last) else []
+        for k, token in enumerate(reversed(held[-LONGEST:])):
             if token in _ENDS:
+                grams = grams[:k]
                 break
-            gram = f"{token} {gram}"
-            n = self.total.get(gram, 0)
-            if n < (SEEN_LEAST if " " in gram.rstrip() else 1):
+        self.grams = grams
+        self.before = int(mix(last[-2:-1])[0]) if len(held) > 1 else 0
+        said = tokens(answer or "")
+        self.context = 0
+        if said and held[-len(said) :] == said and len(held) >= len(said) + 2:
+            pair = np.array([hash_word(w) for w in held[-len(said) - 2 : -len(said)]], np.uint64)
+            self.context = int(context_hash(gram_hashes(pair, 2)[1][-1:])[0])
+
+    def keys(self) -> list[int]:
+        return [k for k in (*self.grams, self.before, self.context) if k]
+
+    def unfinished(self, counts: dict[int, tuple[int, int]], words: int) -> bool:
+        """Whether the closing words rarely end a sentence; ``counts`` has (total, ends) of hashes, ``words`` is the number of all words."""
+        known, seen, common = (max(least, share * words) for least, share in ((KNOWN_LEAST, KNOWN), (SEEN_LEAST, SEEN), (COMMON_LEAST, COMMON)))
+        total, ends = counts.get(self.context, (0, 0)) if self.context else (0, 0)
+        if total >= seen and ends > 0.25 * total:
+            return False  # ends with the whole answer, where a sentence can end after an answer
+        if not self.held or self.held[-1] in _PAUSES:
+            return True
+        pair = counts.get(self.grams[1], (0, 0))[0] if len(self.grams) > 1 else 0
+        if len(self.held) > 1 and pair < seen and (counts.get(self.before, (0, 0))[0] >= common or self.piece):
+            return True  # after so common a word all whole words are known, and so are words of one letter
+        best = 0.0
+        for k, gram in enumerate(self.grams):
+            total, ends = counts.get(gram, (0, 0))
+            if total < (seen if k else known):
                 break
-            best = (self.ends.get(gram, 0) + 0.1) / (n + 2)
-        return best
-
-    def ends_with(self, text: str, answer: str | None) -> bool:
-        """Whether a text ends with the whole answer, at a place where a sentence can end after an answer."""
-        held, said = tokens(text), tokens(answer or "")
-        if not said or held[-len(said) :] != said or len(held) < len(said) + 2:
-            return False
-        context = " ".join(held[-len(said) - 2 : -len(said)]) + " *"
-        return self.total.get(context, 0) >= SEEN_LEAST and self.ends[context] > 0.25 * self.total[context]
-
-    def unfinished(self, text: str, answer: str | None = None) -> bool:
-        return self.ends_probability(text) < END_LEAST and not self.ends_with(text, answer)
+            best = (ends + 0.1) / (total + 2)
+        return best < END_LEAST
 
 
 def aligned(text: str, other: str) -> str:
@@ -225,12 +233,6 @@ def reply_text(raw: str | None) -> str | None:
     return reply.reasoning.rstrip() + " ."
 
 
-def fitted(rows: DataFrame, id_col: str, columns: list[str], size: int = FIT_TEXTS) -> Terminality:
-    """The model, fitted on at most ``size`` texts: those of the rows whose ids hash lowest."""
-    sample = bounded_sample(rows.select(id_col, *columns), id_col, size // len(columns), 11)
-    return Terminality().fit([t for r in sample.collect() for t in r[1:] if t])
-
-
 _JUDGED = "id long, field string, verdict string, running string, answer string"
 _NAMES = ("id", "field", "verdict", "running", "answer")
 
@@ -255,37 +257,106 @@ def _judged(paragraph_field: str, raw_field: str):
     return run
 
 
-def _bands(texts: list[str | None]) -> list[list[int]]:
-    """Of each text its band keys; none for a text under five words."""
-    coded = Coded(texts, _SHINGLED)
-    book = np.array([hash_word(w) for w in coded.words], np.uint64) if coded.words else np.empty(0, np.uint64)
-    h, at = windows(book[coded.codes] if len(coded.codes) else coded.codes, coded.start, SHINGLE)
-    if not len(h):
-        return [[] for _ in texts]
-    owner = coded.owner[at]
-    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    minima = np.stack([np.minimum.reduceat(mix(h ^ np.uint64(0xA24BAED4963EE407 * (k + 1) % 2**64)), first) for k in range(BANDS * ROWS)], axis=1)
-    keys = np.zeros((len(first), BANDS), np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(ROWS):
-            keys = mix(keys * np.uint64(31) + minima[:, k::ROWS] + np.arange(BANDS, dtype=np.uint64))
-    out: list[list[int]] = [[] for _ in texts]
-    for text, row in zip(owner[first], keys.view(np.int64).tolist()):
-        out[text] = row
+def grid(n: int) -> list[int]:
+    """The lengths, in runs of words, at which beginnings are signed: up to ``n``, growing by a quarter."""
+    out, k = [], 1
+    while k <= n:
+        out.append(k)
+        k = max(k + 1, k * 5 // 4)
     return out
 
 
-def hash_word(word: str) -> int:
-    """A hash of a word that is the same in every process."""
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
+class Words:
+    """The tokens of many texts as hashes, with what their runs need."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        coded = Coded(texts, _TOKEN)
+        book = np.array([hash_word(w) for w in coded.words], np.uint64)
+        ends, pauses = (np.array([w in kind for w in coded.words], bool) for kind in (_ENDS, _PAUSES))
+        self.start, self.owner = coded.start, coded.owner
+        self.hash, self.end = (x[coded.codes] if len(book) else x for x in (book, ends))
+        self.word = ~(ends | pauses)[coded.codes] if len(book) else ends
+
+    def bands(self, every: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(text, band keys) of the beginnings of all grid lengths, or of each text's longest only."""
+        kept = self.hash[self.word]
+        start = np.r_[0, np.cumsum(np.bincount(self.owner[self.word], minlength=len(self.start) - 1))]
+        h, at = windows(kept, start, SHINGLE)
+        owner = np.repeat(np.arange(len(start) - 1), np.diff(start))[at]
+        if not len(h):
+            return np.empty(0, np.int64), np.empty((0, BANDS), np.int64)
+        n = np.bincount(owner, minlength=len(start) - 1)
+        steps = np.array(grid(int(n.max())))
+        levels = np.searchsorted(steps, n, "right")  # how many grid lengths each text reaches
+        within = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+        h = h[within < np.r_[0, steps][levels][owner]]  # what lies beyond the last of them
+        text = np.repeat(np.arange(len(n)), levels)
+        level = np.arange(len(text)) - np.repeat(np.cumsum(levels) - levels, levels)
+        reach = np.r_[0, steps][levels]
+        cuts = (np.cumsum(reach) - reach)[text] + np.r_[0, steps][level]  # where the piece up to each grid length begins
+        keys = np.zeros((len(text), BANDS), np.uint64)
+        salt = (np.arange(BANDS) + BANDS * steps[level][:, None]).astype(np.uint64)
+        later = [np.flatnonzero(level == k) for k in range(1, int(levels.max()))]
+        with np.errstate(over="ignore"):
+            for k in range(BANDS * ROWS):
+                least = np.minimum.reduceat(h * np.uint64(0xA24BAED4963EE407 * (2 * k + 1) % 2**64), cuts)
+                for here in later:  # a beginning holds the shorter ones
+                    least[here] = np.minimum(least[here], least[here - 1])
+                keys[:, k % BANDS] = mix(keys[:, k % BANDS] * np.uint64(31) + least + salt[:, k % BANDS])
+        chosen = slice(None) if every else level == levels[text] - 1
+        return text[chosen], keys.view(np.int64)[chosen]
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, ended) of all runs of words that end before a text's last token, and of the contexts of single words."""
+        h, end = self.hash, self.end
+        if len(h) < 2:
+            return np.empty(0, np.uint64), np.empty(0, bool)
+        inside = np.r_[self.owner[1:] == self.owner[:-1], False]
+        place = np.arange(len(h)) - self.start[self.owner]
+        ended = np.r_[end[1:], False]
+        hashes, flags = [], []
+        every, ok = gram_hashes(h), inside & self.word
+        for k, g in enumerate(every):
+            hashes.append(g[ok])
+            flags.append(ended[ok])
+            if k + 1 < LONGEST:
+                ok = ok & (place > k) & ~np.r_[np.ones(k + 1, bool), end[: -k - 1]][: len(h)]
+        after_two = inside & self.word & (place > 1) & ~np.r_[True, end[:-1]]
+        hashes.append(context_hash(np.r_[h[:1], every[1][:-1]])[after_two])
+        flags.append(ended[after_two])
+        return np.concatenate(hashes), np.concatenate(flags)
+
+
+_SIGNED = "h long, key string, total long, ends long"
+
+
+def _signed(every: bool, known: KeyMap | None):
+    """Rows (h, key) of the bands of texts (key, text), and, with ``known``, (h, total, ends) of their closing words; only of hashes in ``known``. Hash 0 counts all words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for batch in pieces(big, [1], 10_000):
+                words = Words([t and without_ellipsis(t)[0] for t in batch.column(1).to_pylist()])
+                text, keys = words.bands(every)
+                text, keys = np.repeat(text, BANDS), keys.ravel()
+                total = np.empty(0, np.int64)
+                h, ends = total, total
+                if known:
+                    fits = known(keys)
+                    text, keys = text[fits], keys[fits]
+                    found, ended = words.grams()
+                    fits = known(found)
+                    h, back = np.unique(found[fits].view(np.int64), return_inverse=True)
+                    total, ends = np.bincount(back, minlength=len(h)), np.bincount(back, ended[fits], len(h)).astype(np.int64)
+                    h, total, ends = np.r_[h, 0], np.r_[total, np.count_nonzero(words.word)], np.r_[ends, 0]
+                none = pa.nulls(len(h), pa.string())
+                columns = [
+                    pa.array(np.r_[keys, h], pa.int64()), pa.chunked_array([batch.column(0).take(pa.array(text)), none], pa.string()).combine_chunks(),
+                    pa.array(np.r_[np.zeros(len(keys), np.int64), total]), pa.array(np.r_[np.zeros(len(keys), np.int64), ends]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "key", "total", "ends"])
 
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for big in batches:
-        for batch in pieces(big, [1]):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_bands(batch.column(1).to_pylist()), pa.list_(pa.int64()))], names=["key", "bands"])
+    return run
 
 
 def runs_of(text: str) -> frozenset[int]:
@@ -294,9 +365,9 @@ def runs_of(text: str) -> frozenset[int]:
     return frozenset(hash(tuple(words[i : i + SHINGLE])) for i in range(len(words) - SHINGLE + 1))
 
 
-def similarity(x: frozenset[int], y: frozenset[int]) -> float:
-    """The Jaccard similarity of two sets of runs."""
-    return len(x & y) / max(1, len(x | y))
+def holds(x: frozenset[int], y: frozenset[int]) -> float:
+    """The share of the runs ``x`` that are in ``y``."""
+    return len(x & y) / max(1, len(x))
 
 
 def _from_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,62 +384,75 @@ def _from_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     memo[k] = runs_of(text)
                     held += len(memo[k])
             x, y = memo.get(key) or runs_of(running), memo[other_key]
-            if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)) or (near := similarity(x, y)) < SIMILARITY:
+            if (near := holds(x, y)) < SIMILARITY:
                 continue
             bare = LABEL.sub(" ", without_ellipsis(other)[0])
             if tokens(bare)[-7:] == tokens(running)[-7:] or (verdict := aligned(running, bare)) == UNKNOWN:
                 continue
-            for column, value in zip(columns, (key, near, verdict == CUT)):
+            for column, value in zip(columns, (key, near + len(x) / max(1, len(x | y)), 1 if verdict == CUT else -1)):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.bool_()))], names=["key", "near", "cut"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.int32()))], names=["key", "near", "cut"])
 
 
 def _sharing(asked: DataFrame, held: DataFrame) -> DataFrame:
     """Distinct (key, copy_key) of the rows (key, band) that share a band; a band of many copies is spread by their keys."""
-    hot = F.broadcast(held.groupBy("band").agg(F.ceil(F.count("*") / HOT_BAND).cast("int").alias("parts")).where("parts > 1"))
-    mine = asked.join(hot, "band", "left").select("key", "band", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
-    theirs = held.join(hot, "band", "left").select(F.col("key").alias("copy_key"), "band", F.pmod(F.hash("key"), F.coalesce("parts", F.lit(1))).alias("part"))
-    return mine.join(theirs, ["band", "part"]).where("key <> copy_key").select("key", "copy_key").distinct()
+    return salted_join(asked, held.select("band", F.col("key").alias("copy_key")), ["band"], "copy_key").where("key <> copy_key").select("key", "copy_key").distinct()
 
 
 def _kept(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` whose ``name`` is among ``keys``, which are broadcast if few."""
-    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(keys) if few else keys, name, "left_semi")
-
-
-def copy_verdicts(suspects: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, field, cut) of suspects decided by near-copies; ``suspects`` has id, field, running; ``texts`` id, field, text.
-
-    Equal texts are one class, so a text that a third of all rows share is aligned once.
-    """
-    signed = "key string, bands array<long>"
-    suspects = suspects.select("id", "field", F.md5("running").alias("key"), "running")
-    classes = suspects.dropDuplicates(["key"]).select("key", "running")
-    asked = cut_lineage(classes.mapInArrow(_banded, signed).select("key", F.explode("bands").alias("band")))
-    keyed = texts.select(F.md5("text").alias("key"), "text")
-    held = keyed.mapInArrow(_banded, signed).select("key", F.explode("bands").alias("band"))
-    held = cut_lineage(_kept(held, asked.select("band").distinct(), "band").distinct())
-    candidates = cut_lineage(_sharing(asked, held))
-    copies = _kept(keyed.toDF("copy_key", "other"), candidates.select("copy_key").distinct(), "copy_key").dropDuplicates(["copy_key"])
-    pairs = candidates.join(classes, "key").join(copies, "copy_key").select("key", "running", "copy_key", "other")
-    found = pairs.mapInArrow(_from_copies, "key string, near double, cut boolean")
-    decided = found.groupBy("key").agg(F.max(F.struct("near", "cut")).alias("best")).select("key", F.col("best.cut").alias("cut"))
-    return suspects.join(decided, "key").select("id", "field", "cut").distinct()
+    return df.join(small(keys), name, "left_semi")
+
+
+_GRAMMED = "key string, h array<long>"
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [np.array(Asked(t, a).keys(), np.uint64).view(np.int64).tolist() for t, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["key", "h"])
 
 
-def by_model(model: Terminality):
-    """A column function: whether a text's closing words rarely end a sentence."""
-    packed = pickle.dumps(model)
-    held: list[Terminality] = []
+def _unfinished(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = []
+            for text, answer, held in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                counts = {c["h"] % 2**64: (c["total"], c["ends"]) for c in held or ()}
+                cut.append(Asked(text, answer).unfinished(counts, words))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cut, pa.bool_())], names=["asked", "cut"])
 
-    @F.pandas_udf("boolean")
-    def unfinished(texts: pd.Series, answers: pd.Series) -> pd.Series:
-        if not held:
-            held.append(pickle.loads(packed))  # noqa: S301 - made above
-        return pd.Series([held[0].unfinished(t, a) for t, a in zip(texts, answers)], dtype=bool)
+    return run
 
-    return unfinished
+
+def copy_verdicts(classes: DataFrame, asked: DataFrame, held: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(key, cut) of classes (key, running) decided by near-copies; ``asked`` and ``held`` are the bands (key, band) of classes and of texts, ``keyed`` the texts (copy_key, other)."""
+    candidates = cut_lineage(_sharing(asked, held))
+    copies = _kept(keyed, candidates.select("copy_key").distinct(), "copy_key").dropDuplicates(["copy_key"])
+    pairs = candidates.join(classes, "key").join(copies, "copy_key").select("key", "running", "copy_key", "other")
+    found = pairs.mapInArrow(_from_copies, "key string, near double, cut int")
+    votes = found.groupBy("key", "near").agg(F.sum("cut").alias("cut"))
+    return votes.groupBy("key").agg(F.max(F.struct("near", "cut")).alias("best")).select("key", (F.col("best.cut") >= 0).alias("cut"))
+
+
+def settled(suspects: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, field) of the suspects (id, field, running, answer) that were cut, by the near-copies and closing words of ``texts`` (one column, text)."""
+    keyed = texts.where("text is not null").select(F.md5("text").alias("copy_key"), F.col("text").alias("other"))
+    suspects = cut_lineage(suspects.select("id", "field", F.md5("running").alias("key"), F.md5(F.concat_ws("\n", "running", "answer")).alias("asked"), "running", "answer"))
+    classes = suspects.select("key", "running").dropDuplicates(["key"])
+    bands = cut_lineage(classes.mapInArrow(_signed(False, None), _SIGNED).select("key", F.col("h").alias("band")))
+    endings = suspects.select("asked", "running", "answer").dropDuplicates(["asked"])
+    grams = cut_lineage(endings.mapInArrow(_asked, _GRAMMED).select("key", F.explode("h").alias("h")))
+    known = KeyMap.of(bands.select(F.col("band").alias("h")).union(grams.select("h")).distinct())
+    signed = stored(keyed.mapInArrow(_signed(True, known), _SIGNED), "signed-texts")
+    counts = cut_lineage(signed.where("key is null").groupBy("h").agg(F.sum("total").alias("total"), F.sum("ends").alias("ends")))
+    words = (counts.where("h = 0").first() or {"total": 0})["total"]
+    held = signed.where("key is not null").select("key", F.col("h").alias("band")).join(bands.select("band").distinct(), "band", "left_semi").distinct()
+    copied = copy_verdicts(classes, bands, cut_lineage(held), keyed)
+    known_grams = grams.join(counts, "h").groupBy("key").agg(F.collect_list(F.struct("h", "total", "ends")).alias("counts"))  # a handful of runs
+    modelled = endings.join(known_grams, endings["asked"] == known_grams["key"], "left").select("asked", "running", "answer", "counts").mapInArrow(_unfinished(words), "asked string, cut boolean")
+    decided = suspects.select("id", "field", "key", "asked").join(copied, "key", "left").join(modelled.withColumnRenamed("cut", "modelled"), "asked")
+    return decided.where(F.coalesce("cut", "modelled")).select("id", "field").distinct()
 
 
 def truncated(df: DataFrame, id_col: str, paragraph: str, raw: str, answer: str, question: str, label: str) -> DataFrame:
@@ -376,12 +460,13 @@ def truncated(df: DataFrame, id_col: str, paragraph: str, raw: str, answer: str,
     named = {"paragraph": paragraph, "raw": raw, "answer": answer, "question": question, "label": label}
     rows = spread(df.select(F.col(id_col).cast("long").alias("id"), *(F.col(c).alias(name) for name, c in named.items())))
     judged = cut_lineage(rows.mapInArrow(_judged(paragraph, raw), _JUDGED).distinct())
-    suspects = judged.where(F.col("verdict") == UNKNOWN)
-    fields = F.array(F.struct(F.lit(paragraph).alias("field"), F.col("paragraph").alias("text")), F.struct(F.lit(raw).alias("field"), F.col("raw").alias("text")))
-    texts = rows.select("id", F.explode(fields).alias("x")).select("id", "x.field", "x.text").where("text is not null")
-    copied = copy_verdicts(suspects, texts)
-    rest = suspects.join(copied, ["id", "field"], "left").where(F.coalesce("cut", by_model(fitted(rows, "id", ["paragraph", "raw"]))("running", "answer")))
-    return judged.where(F.col("verdict") == CUT).select("id", "field").unionByName(rest.select("id", "field"))
+    cut = settled(judged.where(F.col("verdict") == UNKNOWN), texts_of(rows))
+    return judged.where(F.col("verdict") == CUT).select("id", "field").unionByName(cut)
+
+
+def texts_of(rows: DataFrame) -> DataFrame:
+    """(text) of the paragraphs, replies and labels of records."""
+    return rows.select(F.explode(F.array("paragraph", "raw", "label")).alias("text"))
 
 
 def rates(df: DataFrame, cases: DataFrame, id_col: str, source_col: str, fields: list[str]) -> DataFrame:
