@@ -1,13 +1,16 @@
 """Problem 4: records of the evaluation splits that also occur, exactly or almost, in train.
 
 Questions become vectors of idf-weighted content words (labels, fillers and function
-words removed, rare words corrected against the corpus's own lexicon). Questions of
-one image with the same content words form a class; one vector stands for all of it.
+words removed, misspelled words corrected). A word is known if it is in a small share of
+all questions, in ``REAL_LEAST`` of the other texts of the records, or a listed name;
+only words that aren't known are taken for misspelled ones, and only known words
+correct them, so that of two rare words one letter apart neither becomes the other.
+Questions of one image with the same content words form a class; one vector stands for all of it.
 Classes of train and of evaluation are joined by weighted cosine: of each vector only
 its heaviest terms are put into the inverted lists, up to the place from where both
 the maximum-weight bound and the residual norm keep any dot product below the
 threshold. Lists are keyed by (image, term), so a heavily annotated image is split by
-its rarest terms. Each candidate pair is seen once, at its first common term, gets its
+its rarest terms, and a list that is still long by salts. Each candidate pair is seen once, at its first common term, gets its
 exact dot product, and must name the same things in the same order.
 
 Defined results: a null image number, a null question, a question without content
@@ -23,16 +26,23 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumisift.llm.spelling import Corrector, damerau
+from lumisift.llm.joins import salted_join
+from lumisift.llm.key_map import KeyMap
+from lumisift.llm.spelling import Corrector, one_edit
 from lumisift.runtime import cut_lineage
 
 THRESHOLD = 0.8
 LEXICON_SHARE = 1e-4
 LEXICON_LEAST = 5
+#: Other texts in which a word stands that is no misspelling: their share, and their least number.
+REAL_SHARE = 1e-6
+REAL_LEAST = 2
 #: Words that carry no content, by kind.
 LABELS = frozenset("q question frage pregunta".split())
 FILLERS = frozenset("please so just actually exactly well now okay ok kindly really hey hmm then".split())
@@ -63,14 +73,43 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
 
-def lexicon(questions: DataFrame, share: float = LEXICON_SHARE, least: int = LEXICON_LEAST) -> tuple[int, dict[str, int]]:
-    """The number of questions, and the questions of each term in at least ``share`` of them (and ``least``).
+def lexicon(counts: DataFrame, total: int, share: float = LEXICON_SHARE, least: int = LEXICON_LEAST) -> dict[str, int]:
+    """The questions of each term (term, n) that is in at least ``share`` of ``total`` (and ``least``).
 
     At most 1 / share times the words of a mean question reach the driver, whatever the corpus.
     """
-    total = questions.count()
-    found = questions.mapInArrow(_count_terms, _COUNTED).groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= max(least, share * total))
-    return total, {r["term"]: r["n"] for r in found.collect()}
+    return {r["term"]: r["n"] for r in counts.where(F.col("n") >= max(least, share * total)).collect()}
+
+
+def _words_in(known: KeyMap):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for text in batch.column(0).to_pylist():
+                counts.update(_TOKEN.findall(text.lower()))
+            words = list(counts)
+            hashes = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 42) for w in words], np.uint64)
+            kept = np.flatnonzero(known(hashes)) if words else []
+            yield pa.RecordBatch.from_arrays([pa.array([words[i] for i in kept], pa.string()), pa.array([counts[words[i]] for i in kept], pa.int64())], names=["term", "n"])
+
+    return run
+
+
+def real_words(counts: DataFrame, texts: DataFrame | None, names: DataFrame | None) -> dict[str, int]:
+    """The terms of ``counts`` that are in at least ``REAL_SHARE`` of ``texts``, and ``REAL_LEAST`` times, or in ``names``, with their counts in questions.
+
+    At most 1 / share times the words of a mean text reach the driver, and words of names that are in questions.
+    """
+    asked = counts.where(F.col("term").rlike(r"^\p{L}+$"))
+    known = KeyMap.of(asked.select(F.xxhash64("term").alias("h")))
+    seen = []
+    if texts is not None:
+        held = texts.where("text is not null")
+        found = held.mapInArrow(_words_in(known), _COUNTED).groupBy("term").agg(F.sum("n").alias("k"))
+        seen.append(found.where(F.col("k") >= max(REAL_LEAST, REAL_SHARE * held.count())).select("term"))
+    if names is not None:
+        seen.append(names.where("text is not null").mapInArrow(_words_in(known), _COUNTED).select("term"))
+    return {r["term"]: r["n"] for s in seen for r in asked.join(s.distinct(), "term").collect()}
 
 
 def _classes(words: dict[str, int]):
@@ -148,10 +187,10 @@ def _postings(weights: Weights, threshold: float):
 
 
 def same_request(a: str, b: str, words: dict[str, int]) -> bool:
-    """Whether two keys name the same things in the same order; a word may differ from another by one edit if either isn't in the lexicon and neither holds digits."""
+    """Whether two keys name the same things in the same order; a word may differ from another by one edit if either isn't known and neither holds digits."""
     x, y = a.split(" "), b.split(" ")
     return len(x) == len(y) and all(
-        s == t or ((s not in words or t not in words) and min(len(s), len(t)) > 3 and s.isalpha() and t.isalpha() and abs(len(s) - len(t)) < 2 and damerau(s, t) == 1) for s, t in zip(x, y)
+        s == t or ((s not in words or t not in words) and min(len(s), len(t)) > 3 and s.isalpha() and t.isalpha() and one_edit(s, t)) for s, t in zip(x, y)
     )
 
 
@@ -172,21 +211,27 @@ def _verify(weights: Weights, threshold: float):
     return verify
 
 
-def overlaps(df: DataFrame, id_col: str = "record_id", image_col: str = "image_id", question_col: str = "question", split_col: str = "split", threshold: float = THRESHOLD) -> DataFrame:
-    """(train_id, eval_id, image, cosine): every pair of a train and an evaluation record of one image with (almost) the same question."""
+def overlaps(df: DataFrame, id_col: str = "record_id", image_col: str = "image_id", question_col: str = "question", split_col: str = "split", threshold: float = THRESHOLD, texts: DataFrame | None = None, names: DataFrame | None = None) -> DataFrame:
+    """(train_id, eval_id, image, cosine): every pair of a train and an evaluation record of one image with (almost) the same question.
+
+    ``texts`` and ``names`` have one column, text: other texts of the records, and names of things asked about.
+    """
     image = image_number(F.col(image_col))
     rows = df.select(F.col(id_col).cast("long").alias("id"), image.alias("image"), (F.col(split_col) == "train").alias("train"), F.col(question_col).alias("question")).dropna()
-    total, words = lexicon(rows.select("question"))
+    counts = cut_lineage(rows.select("question").mapInArrow(_count_terms, _COUNTED).groupBy("term").agg(F.sum("n").alias("n")))
+    total = rows.count()
+    frequent = lexicon(counts, total)
+    words = frequent | real_words(counts, texts, names)
     members = cut_lineage(rows.mapInArrow(_classes(words), _CLASSED).distinct())
     classes = members.groupBy("image", "key").agg(F.bool_or("train").alias("t"), F.bool_or(~F.col("train")).alias("e"))
     plain = Weights(total, words)
-    found = members.select("key").mapInArrow(_heaviest(plain), "term string, w double").groupBy("term").agg(F.max("w").alias("w"))  # lexicon terms only
+    found = members.select("key").mapInArrow(_heaviest(plain), "term string, w double").groupBy("term").agg(F.max("w").alias("w"))  # known terms only
     weights = Weights(total, words, {r["term"]: r["w"] for r in found.collect()})
     sides = classes.select("image", "key", F.explode(F.array_compact(F.array(F.when(F.col("t"), True), F.when(F.col("e"), False)))).alias("train"))
-    posted = sides.mapInArrow(_postings(weights, threshold), _POSTED)
+    posted = cut_lineage(sides.mapInArrow(_postings(weights, threshold), _POSTED))
     left = posted.where("train").select("image", "term", F.col("key").alias("key_train"))
     right = posted.where("not train").select("image", "term", F.col("key").alias("key_eval"))
-    candidates = left.join(right, ["image", "term"]).select("image", "term", "key_train", "key_eval")
+    candidates = salted_join(right, left, ["image", "term"], "key_train").select("image", "term", "key_train", "key_eval")
     pairs = candidates.mapInArrow(_verify(weights, threshold), _PAIRED)
     of_train = members.where("train").select("image", F.col("key").alias("key_train"), F.col("id").alias("train_id"))
     of_eval = members.where("not train").select("image", F.col("key").alias("key_eval"), F.col("id").alias("eval_id"))

@@ -45,14 +45,20 @@ def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.rates(table(spark, sf_dir, "training_records"), _truncated(spark, sf_dir), "record_id", "source", COT_FIELDS)
 
 
+def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, vocabulary = table(spark, sf_dir, "training_records"), table(spark, sf_dir, "answer_vocab")
+    names = table(spark, sf_dir, "categories").select(F.col("name").alias("text")).union(vocabulary.select("answer")).union(vocabulary.select(F.explode("aliases")))
+    return cross_split.overlaps(records, texts=records.select(F.col(COT_FIELDS[0]).alias("text")), names=names)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = cross_split.overlaps(table(spark, sf_dir, "training_records"))
+    pairs = _overlaps(spark, sf_dir)
     return pairs.select(F.least("train_id", "eval_id").alias("record_id_a"), F.greatest("train_id", "eval_id").alias("record_id_b"))
 
 
 def p4_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = table(spark, sf_dir, "training_records")
-    return cross_split.totals(records, cross_split.overlaps(records))
+    return cross_split.totals(records, _overlaps(spark, sf_dir))
 
 
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:

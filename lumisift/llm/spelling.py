@@ -71,17 +71,12 @@ class BKTree:
 
 
 class Corrector:
-    """Maps a misspelled word to a lexicon word.
+    """Maps a misspelled word, that is one out of the lexicon, to a lexicon word: the most frequent one an edit away, else, from five letters on, two edits away.
 
-    A word out of the lexicon goes to the most frequent lexicon word one edit away, else,
-    from five letters on, to the most frequent one two edits away. A lexicon word of four
-    letters or more goes to one that is ``RATIO`` times as frequent and one edit away (a
-    common misspelling). Words in ``weak`` are taken only if no other word is as near.
-    Words with digits and ideographs stay.
+    Lexicon words, words with digits and ideographs stay. Words in ``weak`` are taken only if
+    no other word is as near.
     """
 
-    RATIO = 200
-
     def __init__(self, lexicon: dict[str, int], weak: frozenset[str] = frozenset(), memo_max: int = 200_000) -> None:
         self.lexicon, self.weak, self.memo, self.memo_max = lexicon, weak, {}, memo_max
         self.letters = sorted({c for w in lexicon for c in w if c.isalpha() and c < "⺀"})
@@ -104,14 +99,12 @@ class Corrector:
 
     def _correct(self, word: str) -> str:
         near = {x for x in self._near(word) if x in self.lexicon and x.isalpha() and x != word}
-        if word in self.lexicon:
-            return self._best((x for x in near if self.lexicon[x] >= self.RATIO * self.lexicon[word]), word) if len(word) > 3 else word
         if near or len(word) < 5:
             return self._best(near, word)
         return self._best((x for _, x in self.tree.within(word, 2)), word)
 
     def __call__(self, word: str) -> str:
-        if len(word) < 2 or not word.isalpha() or word[0] >= "⺀":
+        if word in self.lexicon or len(word) < 2 or not word.isalpha() or word[0] >= "⺀":
             return word
         if word not in self.memo:
             if len(self.memo) >= self.memo_max:
