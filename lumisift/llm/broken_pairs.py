@@ -148,9 +148,9 @@ class Copies:
 
     def __call__(self, text: str, question: str) -> bool:
         """Whether a text is the question, given once or more often."""
-        b, _ = self.asked(question)
-        if not b or self.foreign(text, question):
-            return False
+        b, known = self.asked(question)
+        if not b or len(text) + 1 < 1.6 * (len(known) - len(_LABEL_WORDS)) or self.foreign(text, question):
+            return False  # so few letters can't be 0.8 of the question's words
         a = _question_words(BULLET.sub("", text))
         if a and a == b * (len(a) // len(b)):
             return True  # also where too short for a compressor to tell
@@ -183,10 +183,18 @@ def in_other_language(texts: list[str], question_language: str | None, languages
     return bool(held) and 2 * sum(held) >= len(held)
 
 
+def answered(answer: str | None) -> tuple[str | None, Reply | None]:
+    """EMPTY or REFUSAL, or None and the answer taken apart."""
+    if is_empty(answer):
+        return EMPTY, None
+    reply = Reply(answer)
+    return (REFUSAL, None) if is_refusal(reply.core() if len(answer) > 1 else answer) else (None, reply)
+
+
 def _defects(answer_field: str, raw_field: str, packed: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = pickle.loads(packed)  # noqa: S301 - made by defects()
-        copies, asked_memo = Copies(), {}
+        copies, asked_memo, answer_memo = Copies(), {}, {}
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [])
 
@@ -200,13 +208,15 @@ def _defects(answer_field: str, raw_field: str, packed: bytes):
                         asked_memo.clear()
                     asked_memo[question] = languages.of(question)
                 asked = asked_memo[question]
-                if is_empty(answer):
-                    put(rid, answer_field, EMPTY)
+                if answer not in answer_memo:
+                    if len(answer_memo) > 100_000:
+                        answer_memo.clear()
+                    answer_memo[answer] = answered(answer)
+                defect, taken = answer_memo[answer]
+                if defect:
+                    put(rid, answer_field, defect)
                 else:
-                    core = core_of(answer)
-                    if is_refusal(core):
-                        put(rid, answer_field, REFUSAL)
-                    elif question and copies.whole(Reply(answer), question):
+                    if question and copies.whole(taken, question):
                         put(rid, answer_field, COPY)
                     elif not closed:
                         if in_other_language([answer], asked, languages):
@@ -238,7 +248,7 @@ def _defects(answer_field: str, raw_field: str, packed: bytes):
                     running.append(reply.answer)
                 if in_other_language(running, asked, languages):
                     put(rid, raw_field, LANGUAGE)
-                verdict, undecided = truncation.judge_reply(raw, paragraph, sibling, question)
+                verdict, undecided = truncation.judge_reply(raw, paragraph, sibling, question, reply)
                 if verdict == truncation.CUT:
                     put(rid, raw_field, TRUNCATED)
                 elif verdict == truncation.UNKNOWN:

@@ -12,6 +12,7 @@ ROLE = re.compile(r"^\s*(?:assistant|user|system)\b[ \t]*:?(?:\n|$|(?=\s*\[))",
 ANSWER = re.compile("|".join(ANSWER_LABELS), re.I)
 LABEL = re.compile("|".join((*ANSWER_LABELS, *REASONING_LABELS)), re.I)
 BULLET = re.compile(r"(?m)^\s*(?:[-*•]|\d{1,2}[.)])\s+|^\s*#{1,6}\s*")
+_BULLETS = frozenset("-*•#0123456789")
 #: The labels' plain texts, for a text that stops inside one.
 _SPELLED = ("[reasoning]", "[answer]", "**reasoning**", "**answer:**", "final answer:", "observation:", "analysis:", "conclusion:", "answer:")
 TERMINAL = ".!?。！？"
@@ -39,12 +40,16 @@ class Reply:
             except ValueError:
                 self.broken = True
             body = re.sub(r'^\{\s*"?\w*"?\s*:?\s*"?', "", body)
-        body = ROLE.sub("", body, count=1)
+        if body[:1] in "aAuUsS":
+            body = ROLE.sub("", body, count=1)
+        if not marked(body):
+            self.reasoning = body
+            return
         found = None
         for found in ANSWER.finditer(body):  # noqa: B007 - the last one counts
             pass
         if found is None or self.broken:
-            self.reasoning = LABEL.sub(" ", body) if "[" in body or ":" in body or "*" in body else body
+            self.reasoning = LABEL.sub(" ", body)
             if found is None and LABEL.search(body):
                 self.layout = "labelled"
         else:
@@ -55,7 +60,17 @@ class Reply:
     def core(self) -> str:
         """All that isn't a tag, a heading, a bullet or a role."""
         both = self.reasoning if not self.answer else f"{self.reasoning}\n{self.answer}"
-        return BULLET.sub("", LABEL.sub(" ", both)).strip()
+        return without_bullets(LABEL.sub(" ", both) if marked(both) else both).strip()
+
+
+def marked(text: str) -> bool:
+    """Whether a text has one of the signs that are in every label."""
+    return "[" in text or ":" in text or "*" in text
+
+
+def without_bullets(text: str) -> str:
+    """A text without list marks and heading signs at the beginnings of its lines."""
+    return BULLET.sub("", text) if "\n" in text or text[:1] in _BULLETS or text[:1].isspace() else text
 
 
 def partial_label(text: str) -> bool:
@@ -76,4 +91,4 @@ _SENTENCE = re.compile(r"[^.!?。！？\n]+(?:[.!?](?=\d)[^.!?。！？\n]*)*[.!
 
 def sentences(text: str) -> list[str]:
     """The sentences of a text, without bullets."""
-    return [m.strip() for m in _SENTENCE.findall(BULLET.sub("", text)) if any(map(str.isalnum, m))]
+    return [m.strip() for m in _SENTENCE.findall(without_bullets(text)) if any(map(str.isalnum, m))]

@@ -5,8 +5,8 @@ punctuation mark. It is decided by
 
 1. the other text of its record, in which a cut paragraph or reply goes on;
 2. near-copies in other records. A cut text is the beginning of its copy, so min-hash
-   signatures (runs of five words, eight bands of three) are made of the beginnings of all
-   texts, at lengths that grow by a quarter, and a suspect's is compared with those of its
+   signatures (runs of five words, five bands of three) are made of the beginnings of all
+   texts, at lengths that grow by half, and a suspect's is compared with those of its
    own length. A copy must hold at least 0.8 of the suspect's runs. The suspect's closing
    words are aligned with the copy: if the copy goes on within a word or sentence, the
    suspect was cut; if the copy ends the sentence there, it is whole;
@@ -30,6 +30,7 @@ suspect does shows nothing.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from lumisift.llm.joins import salted_join, small
 from lumisift.llm.key_map import KeyMap
 from lumisift.llm.replies import CLOSERS, LABEL, TERMINAL, Reply, partial_label
-from lumisift.llm.words import Coded, mix, pieces, windows
+from lumisift.llm.words import mix, pieces, windows
 from lumisift.runtime import cut_lineage, spread, stored
 
 LONGEST = 4
@@ -51,7 +52,9 @@ KNOWN, SEEN, COMMON = 4e-7, 1e-6, 0.004
 KNOWN_LEAST, SEEN_LEAST, COMMON_LEAST = 1, 3, 100
 #: Most places within a text don't end a sentence, so even a low share of endings speaks for a whole text without its last mark.
 END_LEAST = 0.05
-BANDS, ROWS, SHINGLE, SIMILARITY = 8, 3, 5, 0.8
+BANDS, ROWS, SHINGLE, SIMILARITY = 5, 3, 5, 0.8
+#: From so many runs on a copy at the similarity may lack one.
+WHOLE_RUNS = 5
 #: Runs of words held by a task.
 HELD_RUNS = 500_000
 WHOLE, CUT, UNKNOWN = "whole", "cut", "unknown"
@@ -195,11 +198,11 @@ def _plain(text: str) -> str:
     return _BLANKS.sub(" ", text.lower()).strip()
 
 
-def judge_reply(raw: str | None, paragraph: str | None, answer: str | None, question: str | None) -> tuple[str, str]:
-    """(verdict, the running text it depends on) of a whole reply, given the record's paragraph, final answer and question."""
+def judge_reply(raw: str | None, paragraph: str | None, answer: str | None, question: str | None, reply: Reply | None = None) -> tuple[str, str]:
+    """(verdict, the running text it depends on) of a whole reply, given the record's paragraph, final answer and question, and the reply taken apart, if it is."""
     if not raw or not raw.strip() or not any(c.isalnum() for c in raw):
         return WHOLE, ""
-    reply = Reply(raw)
+    reply = reply or Reply(raw)
     t, dotted = without_ellipsis(raw)
     if reply.broken or t.endswith("�"):
         return CUT, ""
@@ -258,33 +261,59 @@ def _judged(paragraph_field: str, raw_field: str):
 
 
 def grid(n: int) -> list[int]:
-    """The lengths, in runs of words, at which beginnings are signed: up to ``n``, growing by a quarter."""
+    """The lengths, in runs of words, at which beginnings are signed: up to ``n``, growing by half."""
     out, k = [], 1
     while k <= n:
         out.append(k)
-        k = max(k + 1, k * 5 // 4)
+        k = max(k + 1, k * 3 // 2)
     return out
 
 
+def _coded(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(tokens, their codes, starts) of texts; a text that holds the one before it as it is, as replies hold their paragraphs, is read only around that."""
+    book: dict[str, int] = defaultdict()
+    book.default_factory = book.__len__
+    code = book.__getitem__
+    codes: list[int] = []
+    start = np.zeros(len(texts) + 1, np.int64)
+    before, held = "", 0
+    for i, text in enumerate(texts):
+        at = text.find(before) if text and len(before) > 40 else -1
+        end = at + len(before)
+        if at >= 0 and (at == 0 or text[at - 1].isspace()) and (end == len(text) or text[end].isspace()):
+            known = codes[held:]
+            held = len(codes)
+            codes += map(code, tokens(text[:at]))
+            codes += known
+            codes += map(code, tokens(text[end:]))
+        else:
+            held = len(codes)
+            if text:
+                codes += map(code, tokens(text))
+        start[i + 1] = len(codes)
+        before = text or ""
+    return list(book), np.array(codes, np.int64), start
+
+
 class Words:
     """The tokens of many texts as hashes, with what their runs need."""
 
     def __init__(self, texts: list[str | None]) -> None:
-        coded = Coded(texts, _TOKEN)
-        book = np.array([hash_word(w) for w in coded.words], np.uint64)
-        ends, pauses = (np.array([w in kind for w in coded.words], bool) for kind in (_ENDS, _PAUSES))
-        self.start, self.owner = coded.start, coded.owner
-        self.hash, self.end = (x[coded.codes] if len(book) else x for x in (book, ends))
-        self.word = ~(ends | pauses)[coded.codes] if len(book) else ends
+        words, codes, self.start = _coded(texts)
+        self.owner = np.repeat(np.arange(len(texts)), np.diff(self.start))
+        book = np.array([hash_word(w) for w in words], np.uint64)
+        ends, pauses = (np.array([w in kind for w in words], bool) for kind in (_ENDS, _PAUSES))
+        self.hash, self.end = book[codes] if len(book) else book, ends[codes] if len(book) else ends
+        self.word = ~(ends | pauses)[codes] if len(book) else ends
 
     def bands(self, every: bool) -> tuple[np.ndarray, np.ndarray]:
-        """(text, band keys) of the beginnings of all grid lengths, or of each text's longest only."""
+        """(text, band key) of the beginnings of all grid lengths, or of each text's longest only."""
         kept = self.hash[self.word]
         start = np.r_[0, np.cumsum(np.bincount(self.owner[self.word], minlength=len(self.start) - 1))]
         h, at = windows(kept, start, SHINGLE)
         owner = np.repeat(np.arange(len(start) - 1), np.diff(start))[at]
         if not len(h):
-            return np.empty(0, np.int64), np.empty((0, BANDS), np.int64)
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         n = np.bincount(owner, minlength=len(start) - 1)
         steps = np.array(grid(int(n.max())))
         levels = np.searchsorted(steps, n, "right")  # how many grid lengths each text reaches
@@ -294,17 +323,22 @@ class Words:
         level = np.arange(len(text)) - np.repeat(np.cumsum(levels) - levels, levels)
         reach = np.r_[0, steps][levels]
         cuts = (np.cumsum(reach) - reach)[text] + np.r_[0, steps][level]  # where the piece up to each grid length begins
-        keys = np.zeros((len(text), BANDS), np.uint64)
+        odd = np.array([0xA24BAED4963EE407 * (2 * k + 1) % 2**64 for k in range(ROWS * BANDS)], np.uint64)
         salt = (np.arange(BANDS) + BANDS * steps[level][:, None]).astype(np.uint64)
-        later = [np.flatnonzero(level == k) for k in range(1, int(levels.max()))]
+        keys = np.zeros((len(text), BANDS), np.uint64)
         with np.errstate(over="ignore"):
-            for k in range(BANDS * ROWS):
-                least = np.minimum.reduceat(h * np.uint64(0xA24BAED4963EE407 * (2 * k + 1) % 2**64), cuts)
-                for here in later:  # a beginning holds the shorter ones
-                    least[here] = np.minimum(least[here], least[here - 1])
-                keys[:, k % BANDS] = mix(keys[:, k % BANDS] * np.uint64(31) + least + salt[:, k % BANDS])
-        chosen = slice(None) if every else level == levels[text] - 1
-        return text[chosen], keys.view(np.int64)[chosen]
+            least = np.stack([np.minimum.reduceat(h * a, cuts) for a in odd], axis=1)
+            for k in range(1, int(levels.max())):  # a beginning holds the shorter ones
+                here = np.flatnonzero(level == k)
+                least[here] = np.minimum(least[here], least[here - 1])
+            for row in range(ROWS):
+                keys = mix(keys * np.uint64(31) + least[:, row * BANDS : (row + 1) * BANDS] + salt)
+            whole = mix(least.sum(axis=1, dtype=np.uint64) + salt[:, 0])
+        few = steps[level] < WHOLE_RUNS  # copies of so few runs have all of them: one key for all signatures
+        keys[few] = whole[few, None]
+        chosen = np.ones((len(text), BANDS), bool) if every else np.repeat((level == levels[text] - 1)[:, None], BANDS, 1)
+        chosen[few, 1:] = False
+        return np.repeat(text, BANDS).reshape(-1, BANDS)[chosen], keys.view(np.int64)[chosen]
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """(hash, ended) of all runs of words that end before a text's last token, and of the contexts of single words."""
@@ -327,7 +361,7 @@ class Words:
         return np.concatenate(hashes), np.concatenate(flags)
 
 
-_SIGNED = "h long, key string, total long, ends long"
+_SIGNED = "h long, key binary, total long, ends long"
 
 
 def _signed(every: bool, known: KeyMap | None):
@@ -338,7 +372,6 @@ def _signed(every: bool, known: KeyMap | None):
             for batch in pieces(big, [1], 10_000):
                 words = Words([t and without_ellipsis(t)[0] for t in batch.column(1).to_pylist()])
                 text, keys = words.bands(every)
-                text, keys = np.repeat(text, BANDS), keys.ravel()
                 total = np.empty(0, np.int64)
                 h, ends = total, total
                 if known:
@@ -349,9 +382,9 @@ def _signed(every: bool, known: KeyMap | None):
                     h, back = np.unique(found[fits].view(np.int64), return_inverse=True)
                     total, ends = np.bincount(back, minlength=len(h)), np.bincount(back, ended[fits], len(h)).astype(np.int64)
                     h, total, ends = np.r_[h, 0], np.r_[total, np.count_nonzero(words.word)], np.r_[ends, 0]
-                none = pa.nulls(len(h), pa.string())
+                none = pa.nulls(len(h), pa.binary())
                 columns = [
-                    pa.array(np.r_[keys, h], pa.int64()), pa.chunked_array([batch.column(0).take(pa.array(text)), none], pa.string()).combine_chunks(),
+                    pa.array(np.r_[keys, h], pa.int64()), pa.chunked_array([batch.column(0).take(pa.array(text)), none], pa.binary()).combine_chunks(),
                     pa.array(np.r_[np.zeros(len(keys), np.int64), total]), pa.array(np.r_[np.zeros(len(keys), np.int64), ends]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["h", "key", "total", "ends"])
@@ -371,7 +404,7 @@ def holds(x: frozenset[int], y: frozenset[int]) -> float:
 
 
 def _from_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo: dict[str, frozenset[int]] = {}
+    memo: dict[bytes, frozenset[int]] = {}
     held = 0
     for batch in batches:
         columns: tuple[list, ...] = ([], [], [])
@@ -391,7 +424,7 @@ def _from_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             for column, value in zip(columns, (key, near + len(x) / max(1, len(x | y)), 1 if verdict == CUT else -1)):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.float64(), pa.int32()))], names=["key", "near", "cut"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.float64(), pa.int32()))], names=["key", "near", "cut"])
 
 
 def _sharing(asked: DataFrame, held: DataFrame) -> DataFrame:
@@ -430,15 +463,15 @@ def copy_verdicts(classes: DataFrame, asked: DataFrame, held: DataFrame, keyed:
     candidates = cut_lineage(_sharing(asked, held))
     copies = _kept(keyed, candidates.select("copy_key").distinct(), "copy_key").dropDuplicates(["copy_key"])
     pairs = candidates.join(classes, "key").join(copies, "copy_key").select("key", "running", "copy_key", "other")
-    found = pairs.mapInArrow(_from_copies, "key string, near double, cut int")
+    found = pairs.mapInArrow(_from_copies, "key binary, near double, cut int")
     votes = found.groupBy("key", "near").agg(F.sum("cut").alias("cut"))
     return votes.groupBy("key").agg(F.max(F.struct("near", "cut")).alias("best")).select("key", (F.col("best.cut") >= 0).alias("cut"))
 
 
 def settled(suspects: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, field) of the suspects (id, field, running, answer) that were cut, by the near-copies and closing words of ``texts`` (one column, text)."""
-    keyed = texts.where("text is not null").select(F.md5("text").alias("copy_key"), F.col("text").alias("other"))
-    suspects = cut_lineage(suspects.select("id", "field", F.md5("running").alias("key"), F.md5(F.concat_ws("\n", "running", "answer")).alias("asked"), "running", "answer"))
+    keyed = texts.where("text is not null").select(F.unhex(F.md5("text")).alias("copy_key"), F.col("text").alias("other"))
+    suspects = cut_lineage(suspects.select("id", "field", F.unhex(F.md5("running")).alias("key"), F.md5(F.concat_ws("\n", "running", "answer")).alias("asked"), "running", "answer"))
     classes = suspects.select("key", "running").dropDuplicates(["key"])
     bands = cut_lineage(classes.mapInArrow(_signed(False, None), _SIGNED).select("key", F.col("h").alias("band")))
     endings = suspects.select("asked", "running", "answer").dropDuplicates(["asked"])
