@@ -6,7 +6,10 @@ of sources without documents are spread over the others in proportion. Each sour
 budget of tokens is whole rounds of all its documents plus a rest. The rest is fitted on
 the source's counts of documents by exact length: most of it in proportion to the
 counts, what then remains by bounded-knapsack dynamic programming over the documents
-left. Of each length the seeded hash decides which documents are taken; a length that
+left, in units of the lengths' common divisor. The part left to the programme is at least
+four times the longest document and grows until the budget is met, or is the whole budget,
+which is exact as well; past ``UNITS_MOST`` units the shortfall is less than the shortest
+document left. Of each length the seeded hash decides which documents are taken; a length that
 many documents share is split by hash buckets, and only the bucket at the border is
 ranked, so no group is sorted in one task.
 
@@ -19,10 +22,12 @@ summed, its largest cap holds.
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +41,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SEED = 42
 BUCKETS = 1024
-#: The dynamic programme runs over at most so many tokens; the rest is filled before it, longest documents first.
-KNAPSACK_MOST = 20_000
+#: Units the dynamic programme runs over at first, and those past which it isn't repeated over more.
+UNITS, UNITS_MOST = 20_000, 4_000_000
 _COUNTED = "doc_id long, source string, n_tokens int"
 
 
@@ -80,7 +85,7 @@ class Plan:
 
 
 def knapsack(counts: dict[int, int], budget: int) -> dict[int, int]:
-    """How many documents of each length sum up to the most tokens within the budget: bounded subset sum over a bit set."""
+    """How many documents of each length sum up to the most tokens within the budget: bounded subset sum, remembering by which part each sum was first reached."""
     parts = []
     for length, count in sorted(counts.items(), reverse=True):
         count, power = min(count, budget // length), 1
@@ -89,43 +94,44 @@ def knapsack(counts: dict[int, int], budget: int) -> dict[int, int]:
             parts.append((length, take))
             count -= take
             power *= 2
-    mask, reach, steps = (1 << (budget + 1)) - 1, 1, [1]
-    for length, take in parts:
-        reach = (reach | reach << (length * take)) & mask
-        steps.append(reach)
-        if reach >> budget & 1:
+    by = np.full(budget + 1, -1, np.int32)
+    by[0] = len(parts)
+    for i, (length, take) in enumerate(parts):
+        step = length * take
+        new = np.flatnonzero((by[:-step] >= 0) & (by[step:] < 0)) + step
+        by[new] = i
+        if by[budget] >= 0:
             break
-    total = reach.bit_length() - 1
+    total = int(np.flatnonzero(by >= 0)[-1])
     chosen: dict[int, int] = {}
-    for i in range(len(steps) - 1, 0, -1):
-        length, take = parts[i - 1]
-        if not steps[i - 1] >> total & 1:
-            chosen[length] = chosen.get(length, 0) + take
-            total -= length * take
+    while total:
+        length, take = parts[by[total]]
+        chosen[length] = chosen.get(length, 0) + take
+        total -= length * take
     return chosen
 
 
-def fit(counts: dict[int, int], budget: int, most: int = KNAPSACK_MOST) -> dict[int, int]:
+def fit(counts: dict[int, int], budget: int, units: int = UNITS, most: int = UNITS_MOST) -> dict[int, int]:
     """The documents to take of each length for a budget below the sum of all."""
     total = sum(n * k for n, k in counts.items())
     if budget >= total:
         return dict(counts)
-    kept = min(most, budget) // 2  # left to the dynamic programme
-    chosen = {n: k * max(0, budget - kept) // total for n, k in counts.items()}
-    rest = budget - sum(n * k for n, k in chosen.items())
-    for n in sorted(counts, reverse=True):
-        more = min(counts[n] - chosen[n], max(0, rest - kept) // n)
-        chosen[n] += more
-        rest -= more * n
-    while rest > most:  # only where lengths exceed the programme's reach
-        n = next((n for n in sorted(counts, reverse=True) if n <= rest and chosen[n] < counts[n]), None)
-        if n is None:
-            break
-        chosen[n] += 1
-        rest -= n
-    for n, k in knapsack({n: counts[n] - k for n, k in chosen.items()}, min(rest, most)).items():
-        chosen[n] += k
-    return {n: k for n, k in chosen.items() if k}
+    unit = math.gcd(*counts)
+    counts, budget, total = {n // unit: k for n, k in counts.items()}, budget // unit, total // unit
+    left = max(units, 4 * max(counts))
+    while True:
+        whole = left >= budget
+        chosen = {n: 0 if whole else k * (budget - left) // total for n, k in counts.items()}
+        rest = budget - sum(n * k for n, k in chosen.items())
+        for n in sorted(counts, reverse=True):
+            more = 0 if whole else min(counts[n] - chosen[n], max(0, rest - left) // n)
+            chosen[n] += more
+            rest -= more * n
+        for n, k in knapsack({n: counts[n] - k for n, k in chosen.items()}, rest).items():
+            chosen[n] += k
+        if whole or left >= most or sum(n * k for n, k in chosen.items()) == budget:
+            return {n * unit: k for n, k in chosen.items() if k}
+        left *= 4
 
 
 def plan(histogram: dict[str, dict[int, int]], targets: dict[str, tuple[float, int]]) -> list[Plan]:
@@ -166,11 +172,12 @@ def mixture(df: DataFrame, targets: DataFrame, seed: int = SEED, tokenizer_dir:
     per_bucket = hashed.join(F.broadcast(chosen), ["source", "n_tokens"]).groupBy("source", "n_tokens", "take", "bucket").agg(F.count("*").alias("k"))
     before = F.coalesce(F.sum("k").over(Window.partitionBy("source", "n_tokens").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     border = per_bucket.withColumn("room", F.col("take") - before).select("source", "n_tokens", "bucket", "k", "room")
-    placed = hashed.join(border, ["source", "n_tokens", "bucket"], "left")
+    placed = hashed.join(border, ["source", "n_tokens", "bucket"], "left").withColumn("room", F.coalesce("room", F.lit(0)))
     at_border = (F.col("room") > 0) & (F.col("room") < F.col("k"))
-    ranked = F.when(at_border, F.row_number().over(Window.partitionBy("source", "n_tokens", "bucket", at_border).orderBy("h", "doc_id")))
-    taken = F.when(F.coalesce("room", F.lit(0)) <= 0, 0).when(at_border, (ranked <= F.col("room")).cast("int")).otherwise(1)
-    corpus = placed.withColumn("taken", taken).join(F.broadcast(rounds), "source").select("doc_id", "source", "n_tokens", (F.col("rounds") + F.col("taken")).alias("copies")).where("copies > 0")
+    rank = F.row_number().over(Window.partitionBy("source", "n_tokens", "bucket").orderBy("h", "doc_id"))
+    ranked = placed.where(at_border).withColumn("taken", (rank <= F.col("room")).cast("int"))  # one bucket of each length
+    settled = placed.where(~F.coalesce(at_border, F.lit(False))).withColumn("taken", (F.col("room") > 0).cast("int"))
+    corpus = settled.unionByName(ranked).join(F.broadcast(rounds), "source").select("doc_id", "source", "n_tokens", (F.col("rounds") + F.col("taken")).alias("copies")).where("copies > 0")
     used = corpus.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("used_tokens"), F.max("copies").alias("most_copies"))
     available = counted.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
     budgets = spark.createDataFrame([(p.source, p.budget) for p in plans], "source string, budget_tokens long")

@@ -589,6 +589,33 @@ def test_knapsack_equals_brute_force(counts, budget):
     assert sum(n * k for n, k in chosen.items()) == max(s for s in sums if s <= budget)
 
 
+def test_budgets_of_long_documents_are_met():
+    assert sum(n * k for n, k in mixture.fit({30000: 5, 25000: 4}, 100000).items()) == 100000
+    assert sum(n * k for n, k in mixture.fit({21000: 3, 40000: 3}, 80000).items()) == 80000
+    best = max(200_003 * i + 170_001 * j for i in range(41) for j in range(31) if 200_003 * i + 170_001 * j <= 3_000_000)
+    assert sum(n * k for n, k in mixture.fit({200_003: 40, 170_001: 30}, 3_000_000).items()) == best
+    held = {7: 1000, 100_000: 10**6, 99_999: 10**5, 13: 10**9}
+    assert sum(n * k for n, k in mixture.fit(held, 10**10 + 12_345).items()) == 10**10 + 12_345
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 400), st.integers(1, 40), min_size=1, max_size=6), st.data())
+def test_a_shortfall_is_less_than_the_shortest_document_left(counts, data):
+    total = sum(n * k for n, k in counts.items())
+    budget = data.draw(st.integers(1, total))
+    chosen = mixture.fit(counts, budget, units=50, most=50)
+    assert all(k <= counts[n] for n, k in chosen.items())
+    short = budget - sum(n * k for n, k in chosen.items())
+    left = [n for n, k in counts.items() if k > chosen.get(n, 0)]
+    assert short >= 0 and (not left or short < min(left))
+    exact = mixture.fit(counts, budget)
+    sums = {0}
+    for n, k in counts.items():
+        sums = {s + n * j for s in sums for j in range(k + 1) if s + n * j <= budget} if len(sums) * k < 200_000 else sums
+    if len(counts) < 3:
+        assert sum(n * k for n, k in exact.items()) == max(sums)
+
+
 def test_mixture_reaches_its_shares(spark):
     rng = random.Random(6)
     held = [(i, " ".join(rng.choice(["red", "bus", "corner"]) for _ in range(rng.randint(1, 30))), rng.choice("aaaaab")) for i in range(600)]
