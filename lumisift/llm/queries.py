@@ -77,7 +77,8 @@ def p6_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = repetition.banded(repetition.measures(table(spark, sf_dir, "training_records"), "record_id", COT_FIELDS))
+    records = table(spark, sf_dir, "training_records")
+    rows = repetition.banded(repetition.measures(records, "record_id", COT_FIELDS), repetition.fitted_bands(records, "record_id", COT_FIELDS))
     return rows.withColumnRenamed("id", "record_id").distinct()
 
 

@@ -476,7 +476,19 @@ def test_repeated_shares_equal_brute_force(spark):
     cases = {r["id"] for r in repetition.measures(df, "record_id", ["a", "b"], cases_only=True).collect()}
     assert cases == {i for i, s in shares.items() if s >= 0.3}
     assert found[0]["chars_per_token"] is None and found[4]["script"] == "han"
-    assert repetition.banded(repetition.measures(df.where("false"), "record_id", ["a"])).count() == 0
+    bands = repetition.fitted_bands(df, "record_id", ["a", "b"])
+    assert repetition.banded(repetition.measures(df.where("false"), "record_id", ["a"]), bands).count() == 0
+    marked = {r["id"]: r["outside"] for r in repetition.banded(repetition.measures(df, "record_id", ["a"]), bands).collect()}
+    assert len(marked) == len(texts) and marked[0] is None and marked[5]
+    assert {i for i, r in found.items() if not r["within"]} & cases == set()
+
+
+def test_the_band_of_the_defect_rejects_most_texts(spark):
+    rng = random.Random(12)
+    words = "house street water light paper window table garden school music number party money story month night letter river mother market office corner father family village doctor summer winter moment island bridge church kitchen station hotel color ground morning hospital road".split()
+    df = spark.createDataFrame([(i, " ".join(rng.sample(words, 30)) if i % 10 else " ".join([*rng.sample(words, 8)] * 3)) for i in range(300)], "id long, t string")
+    found = repetition.measures(df, "id", ["t"])
+    assert found.where("within").count() < 0.2 * 300 and found.where("repeated_share >= 0.3 and not within").count() == 0 < found.where("repeated_share >= 0.3").count()
 
 
 # --- 8
