@@ -647,6 +647,8 @@ def test_mixture_reaches_its_shares(spark):
 # --- 10
 
 LOOKS = {
+    "q\u0323 x\u0304": (None, ["accent"]),
+    "ไม่ รู้ हिन्दी بِسم": (None, []),
     "plain text": (None, []),
     "ｆｕｌｌ １２": ("full 12", ["form"]),
     "𝐛old ﬁsh": ("bold fish", ["form"]),
