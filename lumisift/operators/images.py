@@ -24,9 +24,12 @@ def _weight(category: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in WEIGHTS.items() for x in kv)), category), F.lit(1.0))
 
 
-def scores(images: DataFrame, instances: DataFrame, questions: DataFrame, shares: tuple[float, float, float] = SHARES) -> DataFrame:
+def scores(images: DataFrame, instances: DataFrame, questions: DataFrame, shares: tuple[float, float, float] = SHARES, captions: DataFrame | None = None, words: tuple[str, ...] = KEYWORDS, negative: tuple[str, ...] = NEGATIVE) -> DataFrame:
     """(image_id, objects, category_score, text_score, scene_score, score) of every image.
 
+    A matching question and a matching caption (image_id, caption), if there are any, count
+    half each for the text; ``words`` and ``negative`` come from a keyword file where there is one.
+
     Repeated rows of an instance count once. Instances and questions are aggregated by
     image before they are joined, so an image with very many objects is one row by then.
     """
@@ -35,11 +38,14 @@ def scores(images: DataFrame, instances: DataFrame, questions: DataFrame, shares
     auxiliary = F.col("category_id").isin(*AUXILIARY)
     weight = F.when(strong, _weight(F.col("category_id"))).when(auxiliary, 0.3 * _weight(F.col("category_id"))).otherwise(0.0)
     objects = one.groupBy("image_id").agg(F.count("*").alias("objects"), F.sum(weight).alias("weight"), F.coalesce(F.max(strong), F.lit(False)).alias("strong"))
-    texts = questions.groupBy("image_id").agg(F.coalesce(F.max(keyword_match(F.col("question"))), F.lit(False)).alias("matched"))
+    held = questions.select("image_id", keyword_match(F.col("question"), words, negative).alias("asked"), F.lit(None).cast("boolean").alias("told"))
+    if captions is not None:
+        held = held.unionByName(captions.select("image_id", F.lit(None).cast("boolean").alias("asked"), keyword_match(F.col("caption"), words, negative).alias("told")))
+    texts = held.groupBy("image_id").agg(*((F.coalesce(F.max(c), F.lit(False)).cast("double") * 0.5).alias(c) for c in ("asked", "told")))
     joined = images.select(F.col("id").alias("image_id"), "width", "height").join(objects, "image_id", "left").join(texts, "image_id", "left")
     n, w, aspect = F.coalesce("objects", F.lit(0)), F.coalesce("weight", F.lit(0.0)), F.col("width") / F.when(F.col("height") > 0, F.col("height"))
     category = F.when(F.coalesce("strong", F.lit(False)), 0.5 + F.least(F.lit(0.5), w / 15)).when(w > 0, F.least(F.lit(0.3), w / 20)).otherwise(0.0)
-    text = F.when(F.coalesce("matched", F.lit(False)), 0.5).otherwise(0.0)
+    text = F.coalesce("asked", F.lit(0.0)) + F.coalesce("told", F.lit(0.0))
     shape = F.when((F.col("width") > 0) & (aspect >= 1.5) & (aspect <= 2.5), 0.3).when((F.col("width") > 0) & (aspect > 2.5) & (aspect <= 3), 0.2).otherwise(0.0)
     crowd = F.when(n.between(5, 20), 0.2).when((n > 20) & (n <= 50), 0.1).otherwise(0.0)
     scored = joined.select("image_id", n.alias("objects"), category.alias("category_score"), text.alias("text_score"), F.least(F.lit(1.0), 0.5 + shape + crowd).alias("scene_score"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def vote(annotations: DataFrame, key: str = "question_id", answers: str = "answers", fallback: str = "multiple_choice_answer") -> DataFrame:
-    """(key, answer, consistency, distinct_answers, votes) of each question.
+    """(key, answer, consistency, distinct_answers, votes, dist) of each question; ``dist`` maps each valid answer to its share of the votes, rounded to four places.
 
     Valid answers are lower case, trimmed, not empty and not given with confidence 'no'
     (null counts as 'yes'). The most frequent wins, of equally frequent ones the first
@@ -28,6 +28,7 @@ def vote(annotations: DataFrame, key: str = "question_id", answers: str = "answe
         F.when(votes > 0, -best["n"] / votes).otherwise(1.0).alias("consistency"),
         F.when(votes > 0, F.size(F.array_distinct("valid"))).otherwise(1).alias("distinct_answers"),
         votes.alias("votes"),
+        F.map_from_entries(F.transform(counted, lambda x: F.struct(x["a"].alias("key"), F.bround(-x["n"] / votes, 4).alias("value")))).alias("dist"),
     )
 
 

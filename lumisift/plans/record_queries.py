@@ -182,25 +182,26 @@ def compare_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    f"""with {_RECORDS}, n as (select distinct try_cast(hard_label.answer as bigint) as number from records where question_type = 'counting' and regexp_matches(hard_label.answer, '^[0-9]{{1,6}}$')),
+    f"""with {_RECORDS}, n as (select distinct try_cast(hard_label.answer as bigint) as number from records where question_type = 'counting' and regexp_matches(hard_label.answer, '^[0-9]{{1,18}}$')),
 c as (select distinct number, (number + d)::varchar as s from n, (select unnest([-100, -10, -2, -1, 0, 1, 2, 10, 100]) as d) where number + d >= 0)
 select number, string_agg(s, ',' order by length(s), s) as candidates from c group by number"""
 )
 def number_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numbers that a counted answer may be confused with."""
-    rows = _records(spark, sf_dir, F.col("hard_label.answer").alias("a"), "question_type").where("question_type = 'counting'").where(F.col("a").rlike("^[0-9]{1,6}$"))
+    """The numbers that a counted answer in digits (as many as a long holds) may be confused with."""
+    rows = _records(spark, sf_dir, F.col("hard_label.answer").alias("a"), "question_type").where("question_type = 'counting'").where(F.col("a").rlike(r"^[0-9]{1,18}\z"))
     return rows.select(F.col("a").cast("long").alias("number")).distinct().select("number", F.array_join(C.neighbours(F.col("number")), ",").alias("candidates"))
 
 
 @_query(
-    rf"""with asked as (select distinct question, hard_label.answer as label from training_records where question is not null)
-select question, label, case when regexp_matches(lower(question), '{"|".join(X.COUNTING)}') then 'counting' when regexp_matches(lower(question), '{"|".join(X.READING)}') then 'reading'
-  when try_cast(trim(label) as int) between 0 and 20 then 'counting' when try_cast(trim(label) as int) is not null then 'reading' end as task from asked where label is null or regexp_matches(label, '^[A-Za-z0-9 ]*\z')"""
+    rf"""with asked as (select distinct question, hard_label.answer as label from training_records where question is not null), n as (select *, case when regexp_matches(label, '^\s*[+-]?[0-9]+\s*$') then try_cast(trim(label) as hugeint) end as number from asked)
+select question, label, case when regexp_matches(lower(question), 'how many|count the|number of|total number|quantity of') then 'counting'
+  when regexp_matches(lower(question), 'what is the (number|bus number|train number)|bus number|train number|license plate|plate number|phone number|what number|number written|printed number|what (year|date|time)|which (year|date|time)') then 'reading'
+  when number between 0 and 20 then 'counting' when number is not null then 'reading' end as task from n"""
 )
 def number_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a question counts, or reads a number off, for plain labels: the rows of its SQL; ``number_tasks_all`` has those of all labels."""
+    """Whether a question counts, or reads a number off."""
     asked = table(spark, sf_dir, "training_records").where("question is not null").select("question", F.col("hard_label.answer").alias("label")).distinct()
-    return asked.where(F.col("label").isNull() | F.col("label").rlike(r"^[A-Za-z0-9 ]*\z")).select("question", "label", X.number_task(F.col("question"), F.col("label"))["task"].alias("task"))
+    return asked.select("question", "label", X.number_task(F.col("question"), F.col("label"))["task"].alias("task"))
 
 
 _MERGED = "answer"
@@ -223,12 +224,3 @@ def repaired_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["repaired_payloads"] = repaired_payloads
-
-
-def number_tasks_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether a question counts, or reads a number off, for every label; without an oracle, as the other engine also casts labels such as '3.0' and '1e2' to numbers."""
-    asked = table(spark, sf_dir, "training_records").where("question is not null").select("question", F.col("hard_label.answer").alias("label")).distinct()
-    return asked.select("question", "label", X.number_task(F.col("question"), F.col("label"))["task"].alias("task"))
-
-
-QUERIES["number_tasks_all"] = number_tasks_all

@@ -70,13 +70,6 @@ def normalise_colors_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _answers(spark, sf_dir).select("answer", X.color_core(F.col("answer")).alias("color"), X.place_core(F.col("answer")).alias("place"))
 
 
-@_query
-def reply_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.col("cot_reasoning.raw_reasoning")
-    rows = _records(spark, sf_dir, X.reasoning_part(raw).alias("reasoning"), X.answer_part(raw).alias("answer"))
-    return rows.where("answer is not null")
-
-
 @_query
 def plain_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.col("cot_reasoning.raw_reasoning")

@@ -18,6 +18,8 @@ def _strip(c: str) -> str:
 
 _NUMBERS = "case {} " + " ".join(f"when '{w}' then '{i}'" for i, w in enumerate(X.NUMBER_WORDS)) + " end"
 
+_SPOKEN = "case {} " + " ".join(f"when '{i}' then '{w}'" for i, w in enumerate(X.NUMBER_WORDS)) + " end"
+
 
 def _clean(c: str) -> str:
     return rf"regexp_replace(trim(regexp_replace(lower(trim(coalesce({c}, ''))), '\s+', ' ', 'g')), '[.!?]+$', '')"
@@ -25,7 +27,7 @@ def _clean(c: str) -> str:
 
 def _match(c: str) -> str:
     bare = rf"trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(coalesce({c}, ''))), '\b(a|an|the)\b', ' ', 'g'), '[!-/:-@\[-`{{-~]', '', 'g'), '\s+', ' ', 'g'))"
-    return f"coalesce({_NUMBERS.format(bare)}, {bare})"
+    return f"coalesce({_SPOKEN.format(bare)}, {bare})"
 
 
 def _words(c: str) -> str:
@@ -69,8 +71,6 @@ def _type(question: str) -> str:
       when {has(X.COUNT_WORDS)} then 'counting' when {has(X.PLACE_WORDS)} then 'location' when {has(X.OPEN_WORDS)} then 'open' end"""
 
 
-_REASONING = _strip(r"regexp_extract(raw, '(?s)\[Reasoning\](.*?)\[Answer\]', 1)")
-_ANSWER = _strip("string_split(" + _strip("string_split(raw, '[Answer]')[-1]") + ", chr(10))[1]")
 _TIER = "case when hard_label.confidence < 0.4 then 'low' when hard_label.confidence <= 0.95 then 'middle' when hard_label.confidence <= 0.98 then 'high' when hard_label.confidence is not null then 'ultra' else 'none' end"
 _PLAIN = "cot_reasoning.raw_reasoning"
 for _pattern, _to in ((r"(?m)^#{1,6}\s*", ""), (r"\*\*([^*]+)\*\*", r"\1"), (r"\*([^*]+)\*", r"\1"), (r"(?m)^\s*[-0-9]+\.\s*", ""), (r"\s+", " ")):
@@ -109,9 +109,6 @@ select answer, case when regexp_matches(a, '^[0-9]+$') then a else {_NUMBERS.for
     "normalise_colors_places": f"""with {_ANSWERS}, t as (select answer, {_clean("answer")} as c, list_filter(string_split({_clean("answer")}, ' '), lambda w: w <> '' and w not in {_set(X.COLOR_MODIFIERS)}) as words from answers)
 select answer, case when len(words) = 1 then words[1] else coalesce(list_filter(words, lambda w: w in {_set(X.COLORS)})[1], words[1]) end as color,
   case when c in {_set(X.PLACES)} then c else list_filter({_list(X.PLACES)}, lambda p: contains(c, p))[1] end as place from t""",
-    "reply_parts": rf"""with {_RECORDS}, t as (select record_id, cot_reasoning.raw_reasoning as raw from records)
-select record_id, case when contains(raw, '[Reasoning]') then {_REASONING} end as reasoning, {_ANSWER} as answer
-from t where contains(raw, '[Answer]')""",
     "plain_replies": f"with {_RECORDS} select record_id, trim({_PLAIN}) as plain, {_UNQUOTED} as unquoted from records where cot_reasoning.raw_reasoning is not null",
     "reply_signals": rf"""with {_RECORDS}, t as (select *, cot_reasoning.reasoning_paragraph as text, {_words("question")} as q, {_words("cot_reasoning.reasoning_paragraph")} as w, {_match("hard_label.answer")} as h, {_match("cot_reasoning.answer")} as c from records)
 select record_id, length(text) as chars, len(string_split(text, ' ')) as pieces,

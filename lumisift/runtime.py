@@ -55,7 +55,7 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stored_once(df: DataFrame, name: str, source: DataFrame) -> DataFrame:
+def stored_once(df: DataFrame, name: str, source: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """As :func:`stored`, but a folder of that name that was made in this session from the same files of ``source`` is read again, if it is still there."""
     spark = df.sparkSession
     key = (spark.sparkContext.applicationId, name, tuple(sorted(source.inputFiles())))
@@ -64,7 +64,7 @@ def stored_once(df: DataFrame, name: str, source: DataFrame) -> DataFrame:
             return spark.read.parquet(_ONCE[key])
         except AnalysisException:  # removed since
             pass
-    held = stored(df, name)
+    held = stored(df, name, partition_by)
     _ONCE[key] = _STORED[key[0]][-1]
     return held
 

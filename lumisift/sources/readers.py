@@ -13,6 +13,7 @@ ANNOTATION = {
     "instances": "annotations array<struct<image_id:bigint,id:bigint,category_id:int,bbox:array<double>>>, categories array<struct<id:int,name:string,supercategory:string>>, images array<struct<id:bigint,file_name:string,width:int,height:int>>",
     "questions": "questions array<struct<question_id:bigint,image_id:bigint,question:string>>",
     "answers": "annotations array<struct<question_id:bigint,multiple_choice_answer:string,answers:array<struct<answer:string,answer_confidence:string>>>>",
+    "keypoints": "annotations array<struct<image_id:bigint,id:bigint,category_id:int,num_keypoints:int,keypoints:array<double>>>",
     "captions": "annotations array<struct<image_id:bigint,id:bigint,caption:string>>",
 }
 

@@ -25,12 +25,10 @@ def test_answer_forms(spark):
     assert column(spark, ["one", "15", "60", "fifty"], X.counting_confidence) == [1.0, 1.0, 0.5, 0.3]
     assert column(spark, ["dark blue", "very dark blue", "pink", "a red car", "dark", ""], X.color_core) == ["blue", "blue", "pink", "red", None, None]
     assert column(spark, ["left side", "center", "in the background", "bottom right", "top-left corner", "sky"], X.place_core) == ["left", "center", "back", "right", "left", None]
-    assert column(spark, ["The  Red-car!", "two", "A"], X.match_form) == ["redcar", "2", ""]
+    assert column(spark, ["The  Red-car!", "two", "A"], X.match_form) == ["redcar", "two", ""]
 
 
 def test_replies_and_markdown(spark):
-    assert column(spark, ["[Reasoning] why\n[Answer] red\nrest", "[Answer] a [Answer] b", "none"], X.answer_part) == ["red", "b", None]
-    assert column(spark, ["[Reasoning] why\n[Answer] red", "[Answer] a"], X.reasoning_part) == ["why", None]
     assert column(spark, ["## Head\n**bold** and *it*\n1. item"], X.plain_text) == ["Head bold and it item"]
     assert column(spark, ["say \"x-1\" and “y”, don't"], X.without_quotes) == ["say x-1 and y, don't"]
     assert column(spark, ["ab\x00\x01", "ab\n", ""], X.control_share) == [0.5, 0.0, 0.0]
