@@ -5,7 +5,7 @@ number form, plural, articles and hedging words removed) and looked up among the
 forms of all entries and aliases; the rest is searched in a BK-tree under the
 unrestricted Damerau-Levenshtein distance, which is a metric, so the triangle
 inequality leaves out subtrees without losing an entry. Up to ``broadcast_max`` forms
-the tree goes to every executor; of a longer list the forms, each with its entry, are
+the tree is built once and broadcast; of a longer list the forms, each with its entry, are
 split into shards with a tree each, and the shards' winner of the lowest rank is kept.
 
 Defined results: null and blank values give no row; a value equal to an entry gives no
@@ -22,13 +22,17 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumisift.llm.spelling import BKTree
+from lumisift.runtime import cut_lineage
 
 UNMATCHED = -1
 BROADCAST_MAX = 50_000
+#: Values that meet a shard's tree in one group.
+VALUES_HELD = 50_000
 #: Words and phrases that only hedge or introduce an answer.
 HEDGES = ("i think", "i guess", "i believe", "in total", "of them", "it is", "it s", "its", "this is", "that is", "there are", "there is", "looks like", "kind of", "sort of", "more or less")
 HEDGE_WORDS = frozenset("maybe perhaps probably possibly likely about exactly roughly approximately around nearly almost partly mostly just only circa ca approx a an the answer final label".split())
@@ -130,9 +134,9 @@ def _forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["form", "kind", "entry_id"])
 
 
-def _mapper(rows: list[tuple[int, str, list[str] | None]]):
+def _mapper(held: Broadcast):
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = Entries(rows)
+        entries: Entries = held.value
         for batch in batches:
             ids = [entries.match(v)[-1] for v in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], names=["id", "field", "typed", "answer_id"])
@@ -142,8 +146,8 @@ def _mapper(rows: list[tuple[int, str, list[str] | None]]):
 
 def _sharded(typed: DataFrame, listed: DataFrame, shards: int) -> DataFrame:
     """The same over a list too long to send out: values meet each shard's tree in salted groups, then the nearest winner stays."""
-    salts = max(1, int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
-    values = typed.select("typed").distinct()
+    values = cut_lineage(typed.select("typed").distinct())
+    salts = -(-max(1, values.count()) // VALUES_HELD)  # so that a group holds about so many values at most
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     left = values.withColumn("shard", upto(shards)).withColumn("salt", F.pmod(F.xxhash64("typed"), F.lit(salts)))
     owned = listed.mapInArrow(_forms_of, "form string, kind int, entry_id long").groupBy("form").agg(F.min(F.struct("kind", "entry_id"))["entry_id"].alias("entry_id"))
@@ -180,7 +184,7 @@ def map_typed(df: DataFrame, id_col: str, fields: dict[str, Column], reference:
     if size <= broadcast_max:
         rows = [tuple(r) for r in listed.collect()]
         typed = typed_values(df, id_col, fields, [r[1] for r in rows if r[1] is not None] if inexact_only else None)
-        return typed.mapInArrow(_mapper(rows), _MAPPED).distinct()
+        return typed.mapInArrow(_mapper(df.sparkSession.sparkContext.broadcast(Entries(rows))), _MAPPED).distinct()
     typed = typed_values(df, id_col, fields).distinct()
     if inexact_only:
         typed = typed.join(listed.select(F.col("answer").alias("typed")), "typed", "left_anti").select("id", "field", "typed")

@@ -139,7 +139,28 @@ with records as (
   from counted join totals using (field)
 )
 """
+_P7 = r"""
+with records as (select distinct record_id, cot_reasoning.reasoning_paragraph as p, cot_reasoning.raw_reasoning as r from training_records),
+texts as (select record_id, 'cot_reasoning.reasoning_paragraph' as field, p as text from records union all select record_id, 'cot_reasoning.raw_reasoning', r from records),
+words as (select record_id, field, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from texts where text is not null),
+runs as (select record_id, field, len(w) as n, i, array_to_string(w[i:i + 4], ' ') as run from (select record_id, field, w, unnest(range(1, len(w) - 3)) as i from words where len(w) > 5)),
+again as (select record_id, field, n, i from runs qualify row_number() over (partition by record_id, field, run order by i) > 1),
+covered as (select distinct record_id, field, n, i + k as at from again, (select unnest(range(5)) as k))
+select record_id, field from covered group by record_id, field, n having count(*) >= 0.3 * n
+"""
+_P10 = r"""
+with d as (select doc_id, text, regexp_replace(text, '[\x{ad}\x{200b}-\x{200f}\x{2060}-\x{2064}\x{feff}]', '', 'g') as bare from documents where text is not null),
+found as (
+  select doc_id, 'form' as kind from d where regexp_matches(text, '[\x{ff10}-\x{ff19}\x{ff21}-\x{ff3a}\x{ff41}-\x{ff5a}\x{fb00}-\x{fb06}\x{1d400}-\x{1d7ff}\x{2460}-\x{2473}\x{24b6}-\x{24ea}\x{2102}\x{210a}-\x{2113}\x{2115}\x{2119}-\x{211d}\x{2124}\x{212f}-\x{2134}]')
+  union all select doc_id, 'accent' from d where regexp_matches(bare, '[A-Za-z\x{c0}-\x{24f}\x{370}-\x{52f}\x{1e00}-\x{1fff}][\x{300}-\x{36f}]')
+  union all select doc_id, 'invisible' from d where regexp_matches(text, '[\x{ad}\x{200b}\x{200c}\x{200e}\x{200f}\x{2060}-\x{2064}\x{feff}]') or regexp_matches(text, '[^\x{2190}-\x{2bff}\x{fe0f}\x{1f000}-\x{1faff}]\x{200d}|\x{200d}[^\x{2190}-\x{2bff}\x{fe0f}\x{1f000}-\x{1faff}]')
+  union all select doc_id, 'space' from d where regexp_matches(text, '[\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]')
+  union all select doc_id, 'lookalike' from d where regexp_matches(bare, '[A-Za-z\x{c0}-\x{24f}][\x{370}-\x{3ff}\x{400}-\x{52f}]|[\x{370}-\x{3ff}\x{400}-\x{52f}][A-Za-z\x{c0}-\x{24f}]')
+) select distinct doc_id, kind from found
+"""
 SQL = {
+    "p7_found": _P7,
+    "p10_found": _P10,
     "p1_terms": _P1 + "select field, term, occurrences, records, band from banded",
     "p1_found": _P1 + "select field, term, band from banded where band is not null",
 }
