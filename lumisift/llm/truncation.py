@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from lumisift.llm.joins import salted_join, small
 from lumisift.llm.key_map import KeyMap
-from lumisift.llm.replies import CLOSERS, LABEL, TERMINAL, Reply, partial_label
+from lumisift.llm.replies import CLOSERS, LABEL, ROLE, TERMINAL, Reply, partial_label
 from lumisift.llm.words import mix, pieces, windows
 from lumisift.runtime import cut_lineage, spread, stored
 
@@ -177,6 +177,15 @@ def without_ellipsis(text: str) -> tuple[str, bool]:
     return (bare.rstrip(), True) if bare != core else (text.rstrip(), False)
 
 
+def opened(text: str) -> str:
+    """A text without the role and the label in front of it."""
+    bare = text.lstrip()
+    if bare[:1] in "aAuUsS":
+        bare = ROLE.sub("", bare, count=1).lstrip()
+    label = LABEL.match(bare)
+    return bare[label.end() :] if label else bare
+
+
 def judge(text: str | None, sibling: str | None = None, sibling_ends: bool = False) -> str:
     """The verdict on running text from itself and its sibling; with ``sibling_ends`` the sibling's end is known to be the end of a sentence."""
     if not text or not text.strip():
@@ -370,7 +379,7 @@ def _signed(every: bool, known: KeyMap | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for batch in pieces(big, [1], 10_000):
-                words = Words([t and without_ellipsis(t)[0] for t in batch.column(1).to_pylist()])
+                words = Words([t and opened(without_ellipsis(t)[0]) for t in batch.column(1).to_pylist()])
                 text, keys = words.bands(every)
                 total = np.empty(0, np.int64)
                 h, ends = total, total
