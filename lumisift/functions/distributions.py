@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def entries(dist: Column) -> Column:
     """The entries with a positive probability, in their order; an empty array for null."""
     return F.filter(F.coalesce(F.map_entries(dist), F.array().cast("array<struct<key:string,value:double>>")), lambda e: e["value"] > 0)
@@ -17,8 +24,11 @@ def total(held: Column) -> Column:
 
 def renormalised(held: Column) -> Column:
     """Entries divided by their sum."""
-    s = total(held)
-    return F.transform(held, lambda e: F.struct(e["key"].alias("key"), (e["value"] / s).alias("value")))
+
+    def of(h: Column) -> Column:
+        return let(total(h), lambda s: F.transform(h, lambda e: F.struct(e["key"].alias("key"), (e["value"] / s).alias("value"))))
+
+    return let(held, of)
 
 
 def ranked(held: Column) -> Column:
@@ -30,19 +40,21 @@ def ranked(held: Column) -> Column:
 def softened(held: Column, temperature: float) -> Column:
     """Softmax of the entries' log-probabilities over a temperature."""
     top = F.aggregate(held, F.lit(float("-inf")), lambda acc, e: F.greatest(acc, F.ln(e["value"]) / temperature))
-    scaled = F.transform(held, lambda e: F.struct(e["key"].alias("key"), F.exp(F.ln(e["value"]) / temperature - top).alias("value")))
-    return renormalised(scaled)
+    return renormalised(let(top, lambda t: F.transform(held, lambda e: F.struct(e["key"].alias("key"), F.exp(F.ln(e["value"]) / temperature - t).alias("value")))))
 
 
 def nucleus(held: Column, share: float, most: int) -> Column:
     """The fewest ranked entries whose sum exceeds ``share``, at most ``most``, renormalised."""
-    order = ranked(renormalised(held))
-    within = F.aggregate(
-        order,
-        F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
-        lambda acc, e: F.struct((acc["sum"] + e["value"]).alias("sum"), (acc["n"] + F.when(acc["sum"] + e["value"] <= share, 1).otherwise(0)).alias("n")),
-    )["n"]
-    return F.when(F.size(order) > 0, renormalised(F.slice(order, F.lit(1), F.least(within + 1, F.lit(most), F.size(order))))).otherwise(order)
+
+    def cut(order: Column) -> Column:
+        within = F.aggregate(
+            order,
+            F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
+            lambda acc, e: F.struct((acc["sum"] + e["value"]).alias("sum"), (acc["n"] + F.when(acc["sum"] + e["value"] <= share, 1).otherwise(0)).alias("n")),
+        )["n"]
+        return F.when(F.size(order) > 0, renormalised(F.slice(order, F.lit(1), F.least(within + 1, F.lit(most), F.size(order))))).otherwise(order)
+
+    return let(ranked(renormalised(held)), cut)
 
 
 def entropy(held: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lumisift.functions.answers import literal_map
+from lumisift.functions.distributions import let
 
 #: Marks of a tokeniser or prompt, and signs that are no answer.
 SPECIAL = ("<pad>", "</s>", "<unk>", "<image>", "<bos>", "<eos>", "<s>", "<|startoftext|>", "<|im_start|>", "<|im_end|>", "<|im|>", "<|>", "[cls]", "[sep]", "[pad]", "[unk]")
@@ -77,21 +78,28 @@ def kept(held: Column, primary: Column, rules: Rules = Rules(), least: float = 0
     # validity is judged on the lower-case key, as the primary is
     fits = F.filter(F.transform(F.filter(held, lambda e: e["value"] >= least), entry), lambda e: F.coalesce(e["key"] == low, F.lit(False)) | valid(e["key"], rules))
     only = F.slice(F.filter(F.transform(held, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))), lambda e: F.coalesce(e["key"] == low, F.lit(False))), 1, 1)
-    return limited(F.when(F.size(fits) > 0, last_of_key(fits)).otherwise(only), most)
+    return limited(let(fits, lambda f: F.when(F.size(f) > 0, last_of_key(f)).otherwise(only)), most)
 
 
 def last_of_key(held: Column) -> Column:
     """Of entries with equal keys the value of the last, at the place of the first."""
-    keys = F.array_distinct(F.transform(held, lambda e: e["key"]))
-    return F.transform(keys, lambda k: F.struct(k.alias("key"), F.element_at(F.filter(held, lambda e: e["key"] == k), -1)["value"].alias("value")))
+
+    def of(entries: Column) -> Column:
+        keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value")))
+
+    return let(held, of)
 
 
 def limited(held: Column, most: int) -> Column:
     """The ``most`` likeliest entries (ties keep their order), normalised."""
     order = F.array_sort(F.transform(held, lambda e, i: F.struct((-e["value"]).alias("d"), i.alias("i"), e["key"].alias("key"), e["value"].alias("value"))))
-    cut = F.slice(order, 1, most)
-    total = F.aggregate(cut, F.lit(0.0), lambda acc, e: acc + e["value"])
-    return F.transform(cut, lambda e: F.struct(e["key"].alias("key"), (e["value"] / total).alias("value")))
+
+    def normalised(cut: Column) -> Column:
+        total = F.aggregate(cut, F.lit(0.0), lambda acc, e: acc + e["value"])
+        return let(total, lambda t: F.transform(cut, lambda e: F.struct(e["key"].alias("key"), (e["value"] / t).alias("value"))))
+
+    return let(F.slice(order, 1, most), normalised)
 
 
 def answer_type(question: Column) -> Column:
