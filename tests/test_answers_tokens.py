@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lumisift.functions import answers as A
+from lumisift.functions import curation as Q
 from lumisift.functions import numbers as U
 from lumisift.functions import tokens as K
 from lumisift.functions import types as Y
@@ -47,6 +48,16 @@ def test_short_forms(spark):
     assert values(spark, ["Let's see\nA bus", "First\nx"], A.trimmed_caption) == ["A bus", "x"]
 
 
+def test_checks_before_use(spark):
+    held = ["Orange and white", "red and big", "red, white", None]
+    assert values(spark, held, Q.is_color_pair) == [True, False, False, None]
+    assert values(spark, ["a toy car", "toys", None], lambda c: Q.has_word(c, ("toy",))) == [True, False, None]
+    assert values(spark, ["It might be; perhaps.", "It is.", None], Q.speculative)[:2] == [2, 0]
+    assert values(spark, ["A Clearly Visible  bus"], lambda c: Q.without_phrases(c, ("clearly visible",))) == ["A bus"]
+    assert values(spark, ["redredredredred", "redredred", "abcabcabcabc", "a long answer here", "", None], Q.repeats_itself) == [True, False, True, False, False, False]
+    assert values(spark, ["choice", "color", "location", None], Q.major) == ["closed_choice", "closed_enumerate", "open_type", "open_type"]
+
+
 def test_scenarios(spark):
     df = spark.createDataFrame([("how many", None), (None, "What color is it?"), ("none of the above", ""), ("", "Is it?"), (None, "Where?"), (None, None), ("zz", "Is it?")], "t string, q string")
     assert [r[0] for r in df.select(A.scenario(F.col("t"), F.col("q"))).collect()] == ["counting", "color", "choice", "yes_no", "open", "other", "other"]

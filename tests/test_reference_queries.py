@@ -2,7 +2,7 @@ import importlib
 
 import pytest
 
-from lumisift.plans import answer_queries, nested_queries, quality_queries, reference_queries, store_queries, token_queries
+from lumisift.plans import answer_queries, curation_queries, nested_queries, quality_queries, reference_queries, store_queries, token_queries
 from tests.oracle import DATA, compare, needs_data
 
 QUERIES, SQL = reference_queries.QUERIES, reference_queries.SQL
@@ -14,7 +14,7 @@ def test_query_equals_its_sql(spark, name):
     compare(spark, QUERIES[name], SQL[name])
 
 
-OTHERS = {name: (m.QUERIES[name], sql) for m in (answer_queries, nested_queries, quality_queries, store_queries, token_queries) for name, sql in m.SQL.items()}
+OTHERS = {name: (m.QUERIES[name], sql) for m in (answer_queries, curation_queries, nested_queries, quality_queries, store_queries, token_queries) for name, sql in m.SQL.items()}
 
 
 @needs_data
