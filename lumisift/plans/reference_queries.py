@@ -12,7 +12,7 @@ from lumisift.operators import images as I
 from lumisift.operators import numbering as N
 from lumisift.operators import reports as R
 from lumisift.operators import votes as V
-from lumisift.runtime import table
+from lumisift.runtime import cut_lineage, table
 from lumisift.streaming import batches
 
 QUERIES: dict = {}
@@ -351,7 +351,7 @@ def answer_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def vocabulary_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of all given answers that the 100 heaviest make up."""
-    rows = V.weighted_answers(table(spark, sf_dir, "vqa_annotations"))
+    rows = cut_lineage(V.weighted_answers(table(spark, sf_dir, "vqa_annotations")))
     kept = rows.orderBy(F.desc("weight"), "answer").limit(100).agg(F.sum("given").alias("covered"), F.lit(1).alias("one"))
     whole = rows.agg(F.sum("given").alias("given"), F.count("*").alias("answers"), F.lit(1).alias("one"))
     return whole.join(kept, "one").select("answers", "given", "covered", _r(F.col("covered") / F.col("given"), "coverage"))

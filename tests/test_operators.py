@@ -161,3 +161,20 @@ def test_stream(spark, tmp_path):
     stream = spark.readStream.schema("ts timestamp, event_type string, value double").parquet(str(tmp_path / "in"))
     found = batches.run_once(spark, batches.windowed(stream, "ts", "event_type", "value"), "test")
     assert rows(found, "group", "n", "total") == [("a", 2, 3.0), ("b", 1, 4.0)]
+
+
+def test_rows_later_than_the_watermark_are_left_out(spark, tmp_path):
+    def arrive(name, *held):
+        df = spark.createDataFrame(list(held), "ts string, event_type string, value double")
+        df.selectExpr("cast(ts as timestamp) as ts", "event_type", "value").coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    arrive("a", ("2024-01-01 01:00:00", "a", 1.0), ("2024-03-01 01:00:00", "a", 2.0))
+    stream = spark.readStream.schema("ts timestamp, event_type string, value double").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    aggregated = batches.windowed(stream, "ts", "event_type", "value", late="30 days")
+    seen = []
+    query = aggregated.writeStream.outputMode("update").foreachBatch(lambda batch, _: seen.extend(batch.collect())).option("checkpointLocation", str(tmp_path / "state"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    arrive("b", ("2024-01-01 02:00:00", "a", 4.0), ("2024-02-20 01:00:00", "a", 8.0))
+    query.trigger(availableNow=True).start().awaitTermination()
+    found = {(r["window_start"].month, r["n"], r["total"]) for r in seen}
+    assert (2, 1, 8.0) in found and not any(total in (4.0, 5.0) for _, _, total in found)
