@@ -2,9 +2,9 @@
 
 The corpus becomes a stored positional inverted index in segments of documents. A row of
 it is the list of one term of one segment: the term's documents and positions. A term is
-two neighbouring words in the consistent form of :mod:`lumisift.llm.lookalikes`, so that an
-intersection already of two lists fixes three or four words of a phrase. The rows of a
-segment are sorted by term.
+two neighbouring words in the consistent form of :mod:`lumisift.llm.lookalikes` (whose pair
+scores are fitted on all documents), so that an intersection already of two lists fixes
+three or four words of a phrase. The rows of a segment are sorted by term.
 
 A passage covers a run of at least ``share`` of an item's words, of which at most the share
 ``OFF`` may be changed, misspelled, missing or have words put in between. Each such word

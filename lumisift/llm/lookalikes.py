@@ -5,7 +5,8 @@ Latin letters and digits become plain ones and combining marks are composed. The
 word with Cyrillic or Greek letters is a lattice, every letter standing for itself or for
 the Latin letter it looks like, and the Viterbi path under character-pair scores of the
 scripts, with a price for changing script within a word, gives its letters. The pair
-scores are fitted on a bounded sample of ``FIT_TEXTS`` texts.
+scores are fitted on the words of all texts: tasks count pairs of characters, their sums
+(as many as there are pairs of letters of one script) come to the driver.
 
 Kinds found in a text: 'form', 'accent', 'invisible', 'space', 'lookalike'. Composed
 letters, Chinese punctuation, whole words in another script, raised digits, typographic
@@ -29,9 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumisift.runtime import bounded_sample, spread
+from lumisift.llm.words import pieces
+from lumisift.runtime import spread
 
-FIT_TEXTS = 4_000
+#: Different words a task holds before their pairs are counted.
+HELD_WORDS = 200_000
 SWITCH = -9.0
 KINDS = ("form", "accent", "invisible", "space", "lookalike")
 #: Letters of other scripts and the Latin letters they look like.
@@ -93,12 +96,15 @@ class PairScores:
         self.firsts: Counter[str] = Counter()
 
     def fit(self, texts: list[str]) -> PairScores:
-        words = Counter(w for t in texts for w in _LETTERS.findall(t) if len({script_of(c) for c in w}) == 1 and script_of(w[0]) != "other")
+        return self.add(Counter(w for t in texts for w in _LETTERS.findall(t)))
+
+    def add(self, words: Counter[str]) -> PairScores:
         for word, n in words.items():
-            edged = f"^{word}$"
-            for a, b in zip(edged, edged[1:]):
-                self.pairs[a + b] += n
-                self.firsts[a] += n
+            if word.isascii() or (len({script_of(c) for c in word}) == 1 and script_of(word[0]) != "other"):
+                edged = f"^{word}$"
+                for a, b in zip(edged, edged[1:]):
+                    self.pairs[a + b] += n
+                    self.firsts[a] += n
         return self
 
     def score(self, a: str, b: str) -> float:
@@ -158,10 +164,28 @@ class Consistent:
         return out, kinds
 
 
-def fitted(df: DataFrame, id_col: str, text_col: str, size: int = FIT_TEXTS) -> PairScores:
-    """Pair scores of at most ``size`` texts: those whose ids hash lowest."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return PairScores().fit([r["text"] for r in bounded_sample(rows, "id", size, 3).collect() if r["text"]])
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pair, n) of the words of all texts of a task."""
+    counts, words = PairScores(), Counter()
+    for big in batches:
+        for batch in pieces(big, [0]):
+            for text in batch.column(0).to_pylist():
+                words.update(_LETTERS.findall(text))
+            if len(words) > HELD_WORDS:
+                counts.add(words)
+                words.clear()
+    pairs = counts.add(words).pairs
+    yield pa.RecordBatch.from_arrays([pa.array(list(pairs), pa.string()), pa.array(list(pairs.values()), pa.int64())], names=["pair", "n"])
+
+
+def fitted(df: DataFrame, id_col: str, text_col: str) -> PairScores:
+    """Pair scores of all texts, those of repeated rows and of null ids included (``id_col`` takes no part)."""
+    texts = spread(df.select(F.col(text_col).alias("text"))).where("text <> ''")
+    scores = PairScores()
+    for pair, n in texts.mapInArrow(_counted, "pair string, n long").groupBy("pair").agg(F.sum("n")).collect():  # bounded by the letters of a script
+        scores.pairs[pair] = n
+        scores.firsts[pair[0]] += n
+    return scores
 
 
 _FOUND = pa.schema([("id", pa.int64()), ("text", pa.string()), ("kinds", pa.list_(pa.string()))])

@@ -568,6 +568,21 @@ def test_leaks_equal_aligning_every_pair(spark):
     assert leakage.leaks(leakage.index(df, scores=scores), df, listed.where("false"), scores).count() == 0
 
 
+def test_leaks_are_read_with_the_letters_of_all_documents(spark):
+    """The few documents that show a passage's words in plain letters are the last ones that a sample by hash would take."""
+    item = "cope pace cocoa apex cape coax ecco poco"
+    numbered = spark.range(4_300).withColumnRenamed("id", "doc_id")
+    order = [r["doc_id"] for r in numbered.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").collect()]
+    plain, disguised = set(order[-250:]), order[0]
+    looks = {latin: other for other, latin in lookalikes.CYRILLIC.items()}
+    texts = [(d, "a note: " + "".join(looks.get(c, c) for c in item)) if d == disguised else (d, item.replace("cope", "cope or") if d in plain else "12 34 路面") for d in order]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    scores = lookalikes.fitted(df, "doc_id", "text")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r["doc_id"] for r in leakage.leaks(leakage.index(df, scores=scores), df, items, scores).collect()}
+    assert found == plain | {disguised}
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.integers(2, 120), st.data())
 def test_looked_up_terms_are_hit_by_every_passage(n, data):
