@@ -687,6 +687,21 @@ def test_consistent_forms(spark):
     assert lookalikes.consistent_texts(df.where("false"), scores=scores).count() == 0
 
 
+def test_pair_scores_are_those_of_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(lookalikes, "HELD_WORDS", 20, raising=False)
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcorpeсорехαιé 路1.") for _ in range(rng.randint(0, 40))) for _ in range(4_500)] + [None, "", "路面 12", "cope " * 3_000]
+    held = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, "the only text without an id")]
+    df = spark.createDataFrame(held, "doc_id long, text string").repartition(5)
+    whole = lookalikes.PairScores().fit([t for _, t in held if t])
+    scores = lookalikes.fitted(df, "doc_id", "text")
+    assert (scores.pairs, scores.firsts) == (whole.pairs, whole.firsts)
+    consistent = lookalikes.Consistent(whole)
+    found = {r["id"]: r["text"] for r in lookalikes.consistent_texts(df).collect()}
+    assert all(found[i] == (None if t is None else consistent(t)[0]) for i, t in held)
+    assert lookalikes.fitted(df.where("false"), "doc_id", "text").pairs == {}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text())
 def test_the_form_is_stable(text):
