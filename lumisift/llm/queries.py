@@ -77,9 +77,8 @@ def p6_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = table(spark, sf_dir, "training_records")
-    rows = repetition.banded(repetition.measures(records, "record_id", COT_FIELDS), repetition.fitted_bands(records, "record_id", COT_FIELDS))
-    return rows.withColumnRenamed("id", "record_id").distinct()
+    measured = repetition.measured_once(table(spark, sf_dir, "training_records"), "record_id", COT_FIELDS)
+    return repetition.banded(measured, repetition.bands_of(measured)).withColumnRenamed("id", "record_id")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 The words of every text are tokenised with two public vocabularies (words are coded once
 a batch, so each distinct word is tokenised once), which gives characters per token, the
 share of byte-fallback tokens and the entropy of the token distribution. Rejection bands of
-these measures are fitted per script on a bounded sample (``FIT_RECORDS`` records): what
-lies outside the central share of the sample is marked.
+these measures are fitted per script on all texts, by exact percentiles: what lies outside
+the central share of them is marked.
 
 For the defect searched a band is known exactly, under each vocabulary and in each script:
 of w words a share r is repeated, all their tokens occurred before, so of n tokens at most
@@ -26,19 +26,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumisift.llm.words import Coded, mix, pieces, windows
-from lumisift.runtime import bounded_sample, spread
+from lumisift.runtime import spread, stored
 
 TOKENIZER_DIR = "/opt/tokenizers"
 PIECES = "piece_bpe_32k.model"
 WINDOW = 5
 SHARE = 0.3
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Records the bands are fitted on, and the share of them outside at either end.
-FIT_RECORDS, OUTSIDE = 4_000, 0.01
+#: The share of texts outside a band at either end.
+OUTSIDE = 0.01
+#: Slices of one that values are counted by before those near a percentile are ranked.
+SLICES = 4096
 _MEMO_MAX = 200_000
 _MEASURES = "id long, field string, script string, words long, repeated_share double, tokens long, chars_per_token double, byte_share double, entropy double, within boolean"
 _ARROW = pa.schema(
@@ -177,14 +179,51 @@ def measures(
     return spread(rows).mapInArrow(_measure(tokenizer_dir, fields, window, share, not cases_only, cases_only), _MEASURES)
 
 
-def fitted_bands(df: DataFrame, id_col: str, fields: list[str], tokenizer_dir: str = TOKENIZER_DIR, size: int = FIT_RECORDS, outside: float = OUTSIDE) -> DataFrame:
-    """(script, chars_low, chars_high, byte_high, flat_low): of each script the bands that hold all but ``outside`` of a bounded sample at either end; one row a script."""
-    sample = bounded_sample(df.select(F.col(id_col).alias("id"), *(F.col(f).alias(f"text_{i}") for i, f in enumerate(fields))), "id", size, 7)
-    measured = measures(sample, "id", [f"text_{i}" for i in range(len(fields))], tokenizer_dir).where("tokens > 1")
+def measured_once(df: DataFrame, id_col: str, fields: list[str], tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
+    """:func:`measures` of all texts, those of repeated rows once, stored for fitting and marking."""
+    return stored(measures(df, id_col, fields, tokenizer_dir).distinct(), "fertility")
+
+
+def fitted_bands(df: DataFrame, id_col: str, fields: list[str], tokenizer_dir: str = TOKENIZER_DIR, outside: float = OUTSIDE) -> DataFrame:
+    """:func:`bands_of` all texts of a table."""
+    return bands_of(measured_once(df, id_col, fields, tokenizer_dir), outside)
+
+
+def bands_of(measured: DataFrame, outside: float = OUTSIDE) -> DataFrame:
+    """(script, chars_low, chars_high, byte_high, flat_low): of each script the bands that hold all but ``outside`` of the texts of more than one token at either end; one row a script."""
     low, high = outside, 1 - outside
-    return measured.groupBy("script").agg(
-        F.percentile("chars_per_token", low).alias("chars_low"), F.percentile("chars_per_token", high).alias("chars_high"), F.percentile("byte_share", high).alias("byte_high"), F.percentile(_flatness(), low).alias("flat_low")
-    )
+    values = measured.where("tokens > 1").withColumn("flat", _flatness())
+    return percentiles(values, "script", {"chars_low": ("chars_per_token", low), "chars_high": ("chars_per_token", high), "byte_high": ("byte_share", high), "flat_low": ("flat", low)})
+
+
+def percentiles(df: DataFrame, by: str, wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """Exact percentiles (as ``percentile``, which would hold all different values of a group in one task) of non-negative columns: name to column and share; one row a group.
+
+    Values are counted by slices of their range first. Only those in the slices that hold a
+    rank asked for are then ranked.
+    """
+    columns = sorted({c for c, _ in wanted.values()})
+    values = df.select(F.col(by).alias("owner"), F.explode(F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in columns))).alias("v"))
+    values = values.select("owner", "v.*").withColumn("slice", F.floor(F.col("value") * SLICES))
+    group = Window.partitionBy("owner", "measure")
+    counts = values.groupBy("owner", "measure", "slice").agg(F.count("value").alias("n"))  # of nulls 0
+    upto = counts.withColumn("upto", F.sum("n").over(group.orderBy("slice"))).withColumn("total", F.sum("n").over(group))
+    named = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(c).alias("of"), F.lit(float(p)).alias("p")) for name, (c, p) in wanted.items()))
+    asked = upto.withColumn("w", F.explode(named)).where("w.of = measure").withColumn("place", F.col("w.p") * F.greatest(F.col("total") - 1, F.lit(0)))
+    asked = asked.where("total = 0 or n > 0 and floor(place) < upto and ceil(place) >= upto - n")
+    asked = asked.select(F.col("owner").alias("g"), F.col("measure").alias("of"), F.col("slice").alias("s"), "w.name", "place", (F.col("upto") - F.col("n")).alias("before"))
+    same = F.col("owner").eqNullSafe(F.col("g")) & (F.col("measure") == F.col("of")) & F.col("slice").eqNullSafe(F.col("s"))
+    near = values.join(F.broadcast(asked), same)  # one or two slices a group and name
+    held = near.groupBy("g", "name", "s", "before", "place", "value").agg(F.count("value").alias("n"))
+    ranked = held.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("g", "name", "s").orderBy("value")))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n")), F.col("value")))
+
+    found = ranked.groupBy("g", "name").agg(F.max("place").alias("place"), at(F.floor("place")).alias("low"), at(F.ceil("place")).alias("high"))
+    between = (F.ceil("place") - F.col("place")) * F.col("low") + (F.col("place") - F.floor("place")) * F.col("high")
+    exact = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between)
+    return found.groupBy(F.col("g").alias(by)).agg(*(F.max(F.when(F.col("name") == name, exact)).alias(name) for name in wanted))
 
 
 def _flatness() -> Column:

@@ -483,6 +483,27 @@ def test_repeated_shares_equal_brute_force(spark):
     assert {i for i, r in found.items() if not r["within"]} & cases == set()
 
 
+def test_bands_hold_the_central_share_of_all_texts(spark):
+    """The unusual texts are the last ones that a sample by hash would take; repeated rows count once."""
+    ids = [r["id"] for r in spark.range(4_400).orderBy(F.xxhash64("id", F.lit(7)), "id").collect()]
+    usual = ["the red car waits at the light", "a small house by the river bank", "one two three four", "路面有些湿，树旁有人"]
+    held = [(d, usual[k % 4] if k < 4_100 else "ᚠᚢᚦ ꙮꙮ ᛒᛖ" if k % 3 else "x " * (k % 50 + 2), None) for k, d in enumerate(ids)]
+    df = spark.createDataFrame([*held, *held[:2_000]], "record_id long, a string, b string").repartition(3)
+    measured = repetition.measures(df.distinct(), "record_id", ["a", "b"]).where("tokens > 1").withColumn("flat", F.expr("entropy / log2(tokens)"))
+    expected = measured.groupBy("script").agg(F.percentile("chars_per_token", 0.01), F.percentile("chars_per_token", 0.99), F.percentile("byte_share", 0.99), F.percentile("flat", 0.01))
+    assert rows(repetition.fitted_bands(df, "record_id", ["a", "b"])) == rows(expected)
+    assert repetition.fitted_bands(df.where("false"), "record_id", ["a", "b"]).count() == 0
+
+
+def test_percentiles_by_slices_are_exact(spark):
+    rng = random.Random(6)
+    values = [(g, rng.choice([0.0, rng.random(), rng.random() * 1e-5, rng.randint(0, 9) / 3]), rng.choice([None, rng.random() * 40])) for g in "aaaaaabbc" for _ in range(60)]
+    df = spark.createDataFrame([*values, ("d", 0.25, None), ("e", 1.0, 2.0), ("e", 3.0, 2.0), (None, 0.5, 0.5)], "g string, x double, y double")
+    wanted = {f"{c}{k}": (c, p) for c in "xy" for k, p in enumerate((0, 0.01, 0.37, 0.5, 0.99, 1))}
+    expected = df.groupBy("g").agg(*(F.percentile(c, float(p)).alias(n) for n, (c, p) in wanted.items()))
+    assert rows(repetition.percentiles(df, "g", wanted)) == rows(expected)
+
+
 def test_the_band_of_the_defect_rejects_most_texts(spark):
     rng = random.Random(12)
     words = "house street water light paper window table garden school music number party money story month night letter river mother market office corner father family village doctor summer winter moment island bridge church kitchen station hotel color ground morning hospital road".split()
